@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import decontaminate
+from . import decontaminate, mix
 
 
 def queries():
     return {
         "op2_benchmark_decontamination": decontaminate.op2,
+        "op10_mix_sources": mix.op10,
     }
 
 
 def oracle_sql():
     return {
         "op2_benchmark_decontamination": decontaminate.SQL,
+        "op10_mix_sources": mix.SQL,
     }
