@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mix
+from . import decontaminate, mix, warc
 
 
 def queries():
     return {
         "op2_benchmark_decontamination": decontaminate.op2,
+        "op4_warc_archive": warc.op4,
         "op10_mix_sources": mix.op10,
     }
 
@@ -15,5 +16,6 @@ def queries():
 def oracle_sql():
     return {
         "op2_benchmark_decontamination": decontaminate.SQL,
+        "op4_warc_archive": warc.SQL,
         "op10_mix_sources": mix.SQL,
     }
