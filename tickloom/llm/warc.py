@@ -80,11 +80,13 @@ def write_archive(pages: DataFrame, *, page_id: str = "page_id", url: str = "url
     headers = common.materialize(known.select("page_id", "sha256", "record_type", F.encode(header(), "utf-8").alias("header")), "warc-headers")
     common.discard(written)
     # the payload of a response, from whichever of its rows; of rows with one id and one payload, once
-    again = chosen.mapInArrow(_digests(page_id, url, payload, True), _FACTS + ", payload binary")
-    stored = again.where(large).join(first, (F.col("sha256") == F.col("sha")) & (F.coalesce("page_id", F.lit(NULL_ID)) == F.col("first_id")), "left_semi").select("sha256", "payload")
+    again = chosen.mapInArrow(_digests(page_id, url, payload, True), _FACTS + ", payload binary").withColumn("first_id", F.coalesce("page_id", F.lit(NULL_ID)))
+    pick = first.select(F.col("sha").alias("sha256"), "first_id")
+    # the join has dealt the rows by both keys already, so that the second step moves nothing
+    stored = again.where(large).join(pick, ["sha256", "first_id"], "left_semi").dropDuplicates(["sha256", "first_id"]).select("sha256", "payload")
     if least > 0:
-        stored = stored.unionByName(again.where(~large).select("sha256", "payload"))
-    payloads = common.materialize(stored.dropDuplicates(["sha256"]), "warc-payloads")
+        stored = stored.unionByName(again.where(~large).dropDuplicates(["sha256"]).select("sha256", "payload"))
+    payloads = common.materialize(stored, "warc-payloads")
     return headers, payloads
 
 
