@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mix, warc
+from . import decontaminate, mix, secrets, warc
 
 
 def queries():
     return {
         "op2_benchmark_decontamination": decontaminate.op2,
         "op4_warc_archive": warc.op4,
+        "op8_secret_scan": secrets.op8,
         "op10_mix_sources": mix.op10,
     }
 
