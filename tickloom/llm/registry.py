@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mix, secrets, warc
+from . import decontaminate, mix, pii, secrets, toxicity, warc
 
 
 def queries():
     return {
         "op2_benchmark_decontamination": decontaminate.op2,
         "op4_warc_archive": warc.op4,
+        "op6_personal_data": pii.op6,
+        "op7_toxicity_chain": toxicity.op7,
         "op8_secret_scan": secrets.op8,
         "op10_mix_sources": mix.op10,
     }
