@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mix, pii, secrets, toxicity, warc
+from . import decontaminate, mix, neardup, pii, secrets, toxicity, warc
 
 
 def queries():
     return {
+        "op1_bagminhash_near_duplicates": neardup.op1,
         "op2_benchmark_decontamination": decontaminate.op2,
         "op4_warc_archive": warc.op4,
         "op6_personal_data": pii.op6,
