@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mix, neardup, pii, secrets, toxicity, warc
+import corpus_pipeline
+
+from . import decontaminate, mix, neardup, pii, secrets, toxicity, vectors, warc
 
 
 def queries():
@@ -10,10 +12,12 @@ def queries():
         "op1_bagminhash_near_duplicates": neardup.op1,
         "op2_benchmark_decontamination": decontaminate.op2,
         "op4_warc_archive": warc.op4,
+        "op5_embedding_range_join": vectors.op5,
         "op6_personal_data": pii.op6,
         "op7_toxicity_chain": toxicity.op7,
         "op8_secret_scan": secrets.op8,
         "op10_mix_sources": mix.op10,
+        "pipeline": corpus_pipeline.run,
     }
 
 
@@ -21,5 +25,6 @@ def oracle_sql():
     return {
         "op2_benchmark_decontamination": decontaminate.SQL,
         "op4_warc_archive": warc.SQL,
+        "op5_embedding_range_join": vectors.SQL,
         "op10_mix_sources": mix.SQL,
     }
