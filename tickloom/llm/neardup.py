@@ -10,10 +10,12 @@ the probability of the weighted Jaccard similarity.  Points are only drawn as fa
 2. Registers are banded.  In each bucket the member that shares most buckets is compared with the others, with the
    words at hand: pairs of a multiset overlap of at least ``threshold`` are links.
 3. Components of the links are found; buckets that still hold more than one component go through ``ROUNDS`` more such
-   rounds with other members as centre, and what is left is compared pair by pair across components.  So no candidate
-   pair is left out unless both ends are in one component already.
+   rounds with other members as centre.  What is left is compared all with all, in tiles of at most ``TILE`` by ``TILE``
+   members: a tile is one task's work, holds registers and words, and emits links only.  So no candidate pair is left out
+   unless both ends are in one component already, and no pairs are ever emitted to be compared.
 
-Candidates come from banding: 20 bands of 4 registers miss a pair at 0.8 with a chance of 3 in 100,000.
+Candidates come from banding: 20 bands of 4 registers miss a pair at 0.8 with a chance of 3 in 100,000.  Inside a tile,
+512 registers that agree less than five standard deviations below the threshold let pairs go (1 in 3,000,000).
 
 Defined cases: a text without words is a copy of texts with the same bytes only (null and empty are zero bytes); rows
 with the same id and words are copies; the class id is the smallest id of the class (null the largest); other columns
@@ -33,7 +35,8 @@ from .components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 20, 4
-ROUNDS = 2
+ROUNDS = 1
+TILE, TILE_BYTES, TILE_REGISTERS = 1500, 12_000_000, 512
 
 
 def bags(texts: list[bytes | None], n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,7 +148,11 @@ def _sign(bands: int, rows: int):
 def similarity(a: bytes | None, b: bytes | None) -> float:
     """Weighted Jaccard similarity of the two texts' multisets of shingles."""
     doc, h, n = bags([a, b])
-    ha, na, hb, nb = h[doc == 0], n[doc == 0], h[doc == 1], n[doc == 1]
+    return overlap(h[doc == 0], n[doc == 0], h[doc == 1], n[doc == 1])
+
+
+def overlap(ha: np.ndarray, na: np.ndarray, hb: np.ndarray, nb: np.ndarray) -> float:
+    """Weighted Jaccard similarity of two multisets, hashes sorted, with their counts."""
     if not len(ha) or not len(hb):
         return 0.0
     slot = np.minimum(np.searchsorted(ha, hb), len(ha) - 1)
@@ -213,28 +220,81 @@ def _find_links(members: DataFrame, texts: DataFrame, threshold: float) -> DataF
     centrality = members.groupBy("node").agg(F.sum("count").alias("shared"))
     members = common.materialize(members.drop("count").join(centrality, "node"), "neardup-members")
     links = roots = None
-    for k in range(ROUNDS + 2):
-        if roots is None:
-            open_ = members.withColumn("root", F.col("node"))
-        else:
-            # of buckets that are all in one component nothing is left to find
-            named = members.join(roots.select(F.col("u").alias("node"), F.col("v").alias("r")), "node", "left").withColumn("root", F.coalesce("r", "node")).drop("r")
-            mixed = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
-            open_ = common.materialize(named.join(mixed, "bucket"), "neardup-open")
-            if open_.isEmpty():
-                break
-        if k <= ROUNDS:
-            rank = F.struct("shared", "node") if k == 0 else F.struct(F.xxhash64("node", F.lit(k)).alias("shared"), "node")
-            hubs = open_.groupBy("bucket").agg(F.max_by(F.struct("node", "root"), rank).alias("hub"))
-            pairs = open_.join(hubs, "bucket").where("root != hub.root").select(F.col("hub.node").alias("x"), F.col("node").alias("y"))
-        else:
-            other = open_.select("bucket", F.col("node").alias("y"), F.col("root").alias("other"))
-            pairs = open_.join(other, "bucket").where("root < other").select(F.col("node").alias("x"), "y")
+    for k in range(ROUNDS + 1):
+        open_ = members.withColumn("root", F.col("node")) if roots is None else _still_open(members, roots)
+        rank = F.struct("shared", "node") if k == 0 else F.struct(F.xxhash64("node", F.lit(k)).alias("shared"), "node")
+        hubs = open_.groupBy("bucket").agg(F.max_by(F.struct("node", "root"), rank).alias("hub"))
+        pairs = open_.join(hubs, "bucket").where("root != hub.root").select(F.col("hub.node").alias("x"), F.col("node").alias("y"))
         pairs = pairs.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
         found = _links(pairs, texts, threshold)
-        links = found if roots is None else roots.unionByName(found)
-        roots = components(links)
-    return roots
+        roots = components(found if roots is None else roots.unionByName(found))
+    open_ = _still_open(members, roots)
+    if open_.isEmpty():
+        return roots
+    return components(roots.unionByName(_tiles(open_, texts, threshold)))
+
+
+def _still_open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(bucket, node, shared, root) of the buckets that are not all in one component."""
+    named = members.join(roots.select(F.col("u").alias("node"), F.col("v").alias("r")), "node", "left").withColumn("root", F.coalesce("r", "node")).drop("r")
+    mixed = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
+    return common.materialize(named.join(mixed, "bucket"), "neardup-open")
+
+
+def _tiles(open_: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links between members of different components that are joined by open buckets: each such cluster is dealt into
+    blocks of about ``TILE`` members, and each pair of blocks is one tile."""
+    hubs = open_.groupBy("bucket").agg(F.min("node").alias("v"))
+    clusters = components(open_.join(hubs, "bucket").select(F.col("node").alias("u"), "v").where("u != v"))
+    nodes = open_.groupBy("node").agg(F.first("root").alias("root")).join(clusters.select(F.col("u").alias("node"), F.col("v").alias("c")), "node", "left").withColumn("cluster", F.coalesce("c", "node"))
+    nodes = nodes.join(texts.select("node", F.octet_length("text").alias("bytes")), "node")
+    sizes = nodes.groupBy("cluster").agg(F.ceil(F.greatest(F.count(F.lit(1)) / TILE, F.sum("bytes") / TILE_BYTES)).cast("int").alias("blocks"))
+    dealt = nodes.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = common.materialize(dealt.select("node", "root", "cluster", "blocks", "block"), "neardup-dealt")
+    tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiles = tiles.select("node", "root", "cluster", "block", F.least("block", "other").alias("ti"), F.greatest("block", "other").alias("tj"))
+
+    def compare(data: pa.Table) -> pa.Table:
+        return tile_links(data, threshold)
+
+    found = tiles.join(texts, "node").groupBy("cluster", "ti", "tj").applyInArrow(compare, "u bigint, v bigint")
+    return common.materialize(found, "neardup-tiles")
+
+
+def tile_links(data: pa.Table, threshold: float) -> pa.Table:
+    """The links (u, v) of one tile between different components, as far as they join what is not joined yet."""
+    node, root, block = (data[c].to_numpy() for c in ("node", "root", "block"))
+    texts, n = data["text"].cast(pa.binary()), len(node)
+    doc, element, weight = bags([x.as_py() for x in texts])
+    sig = registers(doc, element, weight, n, TILE_REGISTERS)
+    at = np.searchsorted(doc, np.arange(n + 1))
+    total = np.bincount(doc, weight, n)
+    least = threshold - 5 * np.sqrt(threshold * (1 - threshold) / TILE_REGISTERS)
+    joined = {r: r for r in root.tolist()}
+
+    def find(x):
+        while joined[x] != x:
+            joined[x] = joined[joined[x]]
+            x = joined[x]
+        return x
+
+    one, two = (np.flatnonzero(block == b) for b in (block.min(), block.max()))
+    same, us, vs = block.min() == block.max(), [], []
+    label = root.copy()
+    for k, a in enumerate(one):
+        others = two[k + 1 :] if same else two
+        others = others[label[others] != label[a]]
+        size = np.minimum(total[others], total[a]) >= threshold * np.maximum(total[others], total[a]) - 1e-9
+        others = others[size]
+        others = others[(sig[others] == sig[a]).mean(axis=1) >= least] if len(others) else others
+        for b in others:
+            ra, rb = find(int(root[a])), find(int(root[b]))
+            if ra != rb and overlap(element[at[a] : at[a + 1]], weight[at[a] : at[a + 1]], element[at[b] : at[b + 1]], weight[at[b] : at[b + 1]]) >= threshold:
+                us.append(max(node[a], node[b]))
+                vs.append(min(node[a], node[b]))
+                joined[max(ra, rb)] = min(ra, rb)
+                label[(label == ra) | (label == rb)] = min(ra, rb)
+    return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
 
 
 def _assign(signed: DataFrame, copies: DataFrame, roots: DataFrame | None) -> DataFrame:
