@@ -131,3 +131,11 @@ def rolling(values: np.ndarray, n: int) -> np.ndarray:
 
 def sorted_join(ids) -> str:
     return ",".join(sorted(map(str, ids)))
+
+
+def tidy(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of plans that nothing refers to any more."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, mix, neardup, pii, secrets, toxicity, vectors, warc
+from . import decontaminate, mix, neardup, pii, secrets, suffix, toxicity, vectors, warc
 
 
 def queries():
@@ -16,6 +16,7 @@ def queries():
         "op6_personal_data": pii.op6,
         "op7_toxicity_chain": toxicity.op7,
         "op8_secret_scan": secrets.op8,
+        "op9_suffix_array_dedup": suffix.op9,
         "op10_mix_sources": mix.op10,
         "pipeline": corpus_pipeline.run,
     }
