@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, mix, neardup, pii, secrets, suffix, toxicity, vectors, warc
+from . import decontaminate, lm, mix, neardup, pii, secrets, suffix, toxicity, vectors, warc
 
 
 def queries():
     return {
         "op1_bagminhash_near_duplicates": neardup.op1,
         "op2_benchmark_decontamination": decontaminate.op2,
+        "op3_lm_scores": lm.op3,
         "op4_warc_archive": warc.op4,
         "op5_embedding_range_join": vectors.op5,
         "op6_personal_data": pii.op6,
