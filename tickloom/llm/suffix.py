@@ -33,7 +33,7 @@ from . import common
 LENGTH, GRAM = 100, 24
 BLOCK = 2_000_000
 #: Text for one shard of anchors; regions for one shard and for one suffix array; parts of one hot anchor.
-SHARD_TEXT, SHARD_REGIONS, CHUNK, HOT = 48_000_000, 6_000_000, 4_000_000, 500_000
+SHARD_TEXT, SHARD_REGIONS, CHUNK, HOT = 48_000_000, 6_000_000, 1_500_000, 500_000
 LEAST_SHARDS = 48
 _NULL = -(1 << 63)
 _TABLE = common.mix(np.arange(1, 257, dtype=np.uint64))
@@ -218,19 +218,56 @@ def _emit_regions(shards: int):
     return run
 
 
-def suffix_array(text: np.ndarray, most: int) -> np.ndarray:
-    """Suffix order of ``text`` (integers, no negative ones) by Larsson and Sadakane's refinement, to a depth of ``most``."""
+PACKED = 7
+
+
+def packed(text: np.ndarray, low: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The ``PACKED`` letters from each place as one number, and whether an end mark (a letter under ``low``) is among
+    them; the number stops at that mark."""
+    n = len(text)
+    mark = text < low
+    letter = np.where(mark, 0, text - low + 1)
+    out, ended = np.zeros(n, np.int64), np.zeros(n, bool)
+    for k in range(PACKED):
+        a, m = np.zeros(n, np.int64), np.ones(n, bool)
+        if k < n:
+            a[: n - k], m[: n - k] = letter[k:], mark[k:]
+        ended |= m
+        out = out << 9
+        out[~ended] |= a[~ended]
+    return out, ended
+
+
+def suffix_array(text: np.ndarray, most: int, low: int | None = None, pack: tuple | None = None) -> np.ndarray:
+    """Suffix order of ``text`` (no negative letters) by Larsson and Sadakane's refinement, to a depth of ``most``.
+
+    Letters under ``low`` are end marks that occur once each, and the others are under ``low`` + 256: then the first
+    ``PACKED`` letters are sorted as one number.
+    """
     n = len(text)
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    order = np.argsort(rank, kind="stable")
+    if low is None:
+        rank, depth = np.unique(text, return_inverse=True)[1].astype(np.int64), 1
+        order = np.argsort(rank, kind="stable")
+    else:
+        key, ended = pack or packed(text, low)
+        # up to the end mark the letters agree, and the mark decides
+        nearest = np.minimum.accumulate(np.where(text < low, np.arange(n), n)[::-1])[::-1]
+        tie = np.where(ended & (nearest < n), text[np.minimum(nearest, n - 1)] + 1, 0)
+        order = np.argsort(key)
+        some = np.flatnonzero(ended[order])
+        if len(some):
+            order = np.lexsort((tie, key))
+        new = np.ones(n, np.int64)
+        new[1:] = (key[order[1:]] != key[order[:-1]]) | (tie[order[1:]] != tie[order[:-1]])
+        rank, depth = np.empty(n, np.int64), PACKED
+        rank[order] = np.cumsum(new) - 1
     # a group's number is the place of its last member
     rank = _number(rank, order)
-    depth = 1
     size = np.bincount(rank, minlength=n)
     todo = order[size[rank[order]] > 1]
     while len(todo) and depth < most:
         after = np.where(todo + depth < n, rank[np.minimum(todo + depth, n - 1)], -1)
-        by = np.lexsort((after, rank[todo]))
+        by = np.argsort(rank[todo] * (n + 1) + after + 1)
         todo, after = todo[by], after[by]
         group = rank[todo]
         # the members of a group fill its places again, in their new order
@@ -258,7 +295,7 @@ def _number(rank: np.ndarray, order: np.ndarray) -> np.ndarray:
     return out
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
+def common_prefixes(text: np.ndarray, order: np.ndarray, low: int | None = None, pack: tuple | None = None) -> np.ndarray:
     """Common prefix of each suffix in ``order`` with the one before it.
 
     In text order an entry is its left neighbour's less one where the bytes before both suffixes agree (Kasai), so only
@@ -274,22 +311,34 @@ def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     left = np.flatnonzero(fresh & (before >= 0))
     right, size = before[left], np.zeros(n, np.int64)
     alive = np.arange(len(left))
-    k = 0
+    k = np.zeros(len(left), np.int64)
+    if low is not None:  # as long as the next letters agree without an end mark, they count together
+        key, ended = pack or packed(text, low)
+        run = alive
+        while len(run):
+            a, b = left[run] + k[run], right[run] + k[run]
+            inside = (a < n) & (b < n)
+            run, a, b = run[inside], a[inside], b[inside]
+            run = run[(key[a] == key[b]) & ~ended[a] & ~ended[b]]
+            k[run] += PACKED
+        size[left] = k
     while len(alive):
-        a, b = left[alive] + k, right[alive] + k
-        alive = alive[(a < n) & (b < n)]
-        alive = alive[text[left[alive] + k] == text[right[alive] + k]]
-        k += 1
-        size[left[alive]] = k
+        a, b = left[alive] + k[alive], right[alive] + k[alive]
+        inside = (a < n) & (b < n)
+        alive, a, b = alive[inside], a[inside], b[inside]
+        alive = alive[text[a] == text[b]]
+        k[alive] += 1
+        size[left[alive]] = k[alive]
     base = np.maximum.accumulate(np.where(fresh, i, 0))
     return np.maximum(size[base] - (i - base), 0)[order]
 
 
-def repeats(regions: list[bytes], rank: np.ndarray, base: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+def repeats(regions: list[bytes], rank: np.ndarray, base: np.ndarray, length: int = LENGTH, single: bool = True) -> tuple[np.ndarray, ...]:
     """All strings of ``length`` in the regions: (region, place, group of equal strings, the groups' first members).
 
     A string's place is its region's ``base`` plus its offset; the first of a group has the smallest (rank, place).
-    Regions may overlap: what has the same rank and place is one string.  Groups are in lexical order.
+    Regions may overlap: what has the same rank and place is one string.  Groups are in lexical order; without
+    ``single`` those of one member are left out.
     """
     size = np.array([len(r) for r in regions], np.int64)
     flat = np.frombuffer(b"".join(regions), np.uint8)
@@ -300,20 +349,24 @@ def repeats(regions: list[bytes], rank: np.ndarray, base: np.ndarray, length: in
     # the end of each region is a letter of its own, so that no common prefix goes on beyond it
     text[where] = flat.astype(np.int64) + len(size)
     text[start + size] = np.arange(len(size))
-    order = suffix_array(text, int(size.max()) + 1)
-    lcp = common_prefixes(text, order)
+    pack = packed(text, len(size))
+    order = suffix_array(text, int(size.max()) + 1, len(size), pack)
+    lcp = common_prefixes(text, order, len(size), pack)
     region = np.repeat(np.arange(len(size)), size + 1)[order]
     offset = order - start[region]
     valid = offset + length <= size[region]
     # a chain of long common prefixes only holds suffixes with so many bytes left
-    group = np.cumsum(lcp < length)[valid]
-    region = region[valid]
+    group = np.cumsum(lcp < length)
+    if not single:
+        valid &= np.bincount(group)[group] > 1
+    group, region = group[valid], region[valid]
     place = base[region] + offset[valid]
-    by = np.lexsort((place, rank[region], group))
-    region, place, group = region[by], place[by], group[by]
-    first = np.ones(len(group), bool)
-    first[1:] = group[1:] != group[:-1]
-    return region, place, np.cumsum(first) - 1, np.flatnonzero(first)
+    new = np.ones(len(group), bool)  # a group stands together in the order of suffixes
+    new[1:] = group[1:] != group[:-1]
+    group, age = np.cumsum(new) - 1, (rank[region] << 32) | place
+    oldest = np.minimum.reduceat(age, np.flatnonzero(new)) if len(age) else age
+    first = np.flatnonzero(age == oldest[group])
+    return region, place, group, first[np.append(True, np.diff(group[first]) > 0)] if len(first) else first
 
 
 def repeated(regions: list[bytes], rank: np.ndarray, base: np.ndarray, length: int = LENGTH, hot: int = HOT) -> tuple[np.ndarray, np.ndarray]:
@@ -327,7 +380,7 @@ def repeated(regions: list[bytes], rank: np.ndarray, base: np.ndarray, length: i
     cuts.append(len(regions))
     parts = []
     for a, b in zip(cuts, cuts[1:]):
-        region, place, group, first = repeats(regions[a:b], rank[a:b], base[a:b], length)
+        region, place, group, first = repeats(regions[a:b], rank[a:b], base[a:b], length, len(cuts) > 2)
         parts.append((region + a, place, group, first))
     if len(parts) == 1:
         region, place, group, first = parts[0]
