@@ -37,7 +37,7 @@ from . import common
 
 BLOCK = 8_000_000
 M2, M3, HEAVY = 50.0, 20.0, 256
-SHARD_TOKENS, LEAST_SHARDS = 3_000_000, 48
+SHARD_TOKENS, LEAST_SHARDS = 1_200_000, 48
 END, START = np.uint64(1), np.uint64(2)
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Step of the logarithms in a byte: for shares of counts, and for the base's probabilities.
