@@ -1,0 +1,229 @@
+"""The corpus operators against SQL and brute force, with odd cases: nulls, empty texts, repeated rows, other columns."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import SF, same
+from pyspark.sql import functions as F
+
+from tickloom.llm import common, decontaminate, lm, mix, neardup, pii, registry, secrets, suffix, toxicity, vectors, warc
+
+ODD = [(None, "a null id"), (1, None), (2, ""), (3, "same words here"), (3, "same words here"), (4, "é🙂 " * 3000), (5, "same words here"), (6, "!!!")]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame([(i, t, "x", k) for k, (i, t) in enumerate(ODD)], "doc_id bigint, text string, hits string, rank int")
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+
+
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+def test_agrees_with_sql(spark, oracle, name):
+    same(spark, oracle, registry.queries()[name], registry.oracle_sql()[name])
+
+
+def test_neardup_against_brute_force(spark, texts):
+    bag = {}
+    for i, t in texts.items():
+        w = common.words(t.encode())
+        bag[i] = Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else Counter()
+    root = {i: i for i in bag}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    ids = sorted(i for i in bag if bag[i])
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            both = sum((bag[a] & bag[b]).values())
+            if both and both >= 0.8 * (sum(bag[a].values()) + sum(bag[b].values()) - both):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    got = {r.doc_id: r.component_id for r in neardup.op1(spark, SF).collect()}
+    assert got == {i: find(i) for i in bag}
+
+
+def test_bagminhash_is_unbiased():
+    words = [b"w%d" % i for i in range(300)]
+    for repeats in (1, 4):
+        a = b" ".join(words * repeats)
+        b = b" ".join(words * repeats + words[:80] * 3)
+        doc, e, n = neardup.bags([a, b])
+        sig = neardup.registers(doc, e, n, 2, 4000)
+        assert abs((sig[0] == sig[1]).mean() - neardup.similarity(a, b)) < 0.035
+
+
+def test_tile_links_what_is_similar(spark):
+    import pyarrow as pa
+
+    base = [f"w{i}" for i in range(200)]
+    rows = [" ".join(base), " ".join(base[:-4] + ["x", "y"]), " ".join(reversed(base))]
+    t = pa.table({"node": [1, 2, 3], "root": [1, 2, 3], "block": [0, 0, 0], "text": rows})
+    assert neardup.tile_links(t, 0.8).to_pylist() == [{"u": 2, "v": 1}]
+
+
+def test_odd_documents(spark, odd):
+    kept = neardup.keep_one(odd)
+    assert kept.columns == odd.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "4", "6", "None"]
+    out = decontaminate.decontaminate(odd, spark.createDataFrame([(1, "same words here"), (2, None)], "item_id bigint, text string"), prefix="_x_").collect()
+    assert [r._x_n_hit for r in out] == [0, 0, 0, 3, 3, 0, 3, 0]
+    assert out[3]._x_spans == [(0, 15)] or [tuple(s) for s in out[3]._x_spans] == [(0, 15)]
+    assert mix.mix(odd.withColumn("source", F.lit(None).cast("string")), prefix="m_").count() == len(ODD)
+    assert secrets.redact(odd).collect() == odd.collect()
+    empty = odd.limit(0)
+    assert neardup.keep_one(empty).count() == suffix.remove_repeats(empty).count() == pii.find(empty).count() == 0
+    assert lm.score(empty, F.lit(False)).count() == 0
+
+
+def test_decontamination_in_blocks(spark):
+    docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    one, many = (decontaminate.decontaminate(docs, items, block_windows=n).select("doc_id", "n_hit", "items").collect() for n in (10**6, 300))
+    assert sorted(map(str, one)) == sorted(map(str, many)) and any(r.n_hit for r in one)
+
+
+def test_lm_against_plain_counts(spark, texts):
+    got = {r.doc_id: r for r in lm.op3(spark, SF).collect()}
+    tok = {i: t.encode().translate(lm._LOWER).split() + ["end"] for i, t in texts.items()}
+    c = Counter(w for i, ts in tok.items() if zlib.crc32(str(i).encode()) % 5 != 1 for w in ts)
+    total = sum(c.values())
+    for i, ts in tok.items():
+        r = got[i]
+        base = sum(math.log10((c[w] + 0.5) / (total + 0.5 * (len(c) + 1))) for w in ts)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(ts), sum(c[w] > 0 for w in ts), total)
+        assert math.isclose(r.base_score, base, rel_tol=1e-9) and r.score < 0
+    held = [r for r in got.values() if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_elias_fano_and_trie(tmp_path):
+    rng = np.random.default_rng(0)
+    x = np.unique(rng.integers(0, 10**7, 3000))
+    ef = lm.EliasFano(*lm.EliasFano.encode(x))
+    probe = rng.integers(0, 2 * 10**7, 5000)
+    assert (ef.find(x) == np.arange(len(x))).all() and ((ef.find(probe) >= 0) == np.isin(probe, x)).all()
+    grams = np.unique(rng.integers(0, 12, (400, 3)), axis=0)
+    grams = grams[np.lexsort((grams[:, 2], grams[:, 0], grams[:, 1]))]
+    u, v, w = grams.T
+    n = rng.integers(1, 5, len(u))
+    trie = lm.Trie(str(tmp_path / "t"), lm.Trie.write(str(tmp_path / "t"), u, v, w, n))
+    p1 = np.full(len(u), 0.01)
+    got = trie.score(u, v, w, p1)
+    for k in range(len(u)):
+        same_v, same_uv = v == v[k], (v == v[k]) & (u == u[k])
+        p2 = (n[same_v & (w == w[k])].sum() + lm.M2 * 0.01) / (n[same_v].sum() + lm.M2)
+        assert math.isclose(got[k], (n[k] + lm.M3 * p2) / (n[same_uv].sum() + lm.M3), rel_tol=0.08)
+    assert np.isclose(trie.score(np.array([99]), np.array([99]), np.array([99]), np.array([0.01])), 0.01)
+
+
+def test_warc_round_trip(spark):
+    rows = [(1, "http://a", "x"), (2, "http://b\r\nX: y", "x"), (2, "http://b", "x"), (3, None, None), (4, "u", ""), (None, "n", "z")]
+    headers, payloads = warc.write_archive(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    got = warc.parse(warc.read_records(headers, payloads)).collect()
+    assert sorted((str(r.page_id), r.record_type, str(r.refers_to)) for r in got) == sorted([("1", "revisit", "2"), ("2", "response", "None"), ("2", "revisit", "2"), ("3", "revisit", "4"), ("4", "response", "None"), ("None", "response", "None")])
+    assert payloads.count() == 3
+
+
+def test_vectors_in_cells_against_brute_force(spark):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(12, 16))
+    x = np.vstack([c + rng.normal(scale=0.12, size=(25, 16)) for c in centres] + [rng.normal(size=(60, 16)), centres[:3], centres[:3]])
+    rows = [(i, [float(a) for a in v]) for i, v in enumerate(x)] + [(900, None), (901, [0.0] * 16), (902, [1.0, None]), (903, [float("nan")] * 16), (904, [1.0, 2.0]), (905, [2.0, 4.0])]
+    got = {r.key: (r.n_links, r.component) for r in vectors.link(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), block=40).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hit = unit @ unit.T >= 0.95
+    np.fill_diagonal(hit, False)
+    label = np.arange(len(x))
+    for _ in range(len(x)):
+        label = np.minimum(label, np.where(hit, label[None, :], len(x)).min(axis=1))
+    assert {i: got[i] for i in range(len(x))} == {i: (int(hit[i].sum()), int(label[i])) for i in range(len(x))}
+    assert [got[i] for i in range(900, 906)] == [(0, 900), (0, 901), (0, 902), (0, 903), (1, 904), (1, 904)]
+
+
+def test_pii_base_and_context(spark):
+    t = "mail a.b@c.org@d.net 1.2.3.4.5.6.7.8 300.1.1.1 card 4111 1111-1111 1111 or +1 (386) 555-8773 x@y"
+    want = [(0, *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    assert [s for s in pii.base_spans(t) if s[0] == 0] == want
+    assert [t[a:b] for k, a, b in pii.base_spans(t) if k] == ["1.2.3.4", "5.6.7.8", "4111 1111-1111 1111", "+1 (386) 555-8773"]
+    rows = [(i, f"please write to u{i}@mail.org today") for i in range(40)] + [(99, "please write to u7 at mail.org"), (100, "so write to agent-77 now")]
+    got = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(len(got[i]) == 1 for i in range(40)) and [s.kind for s in got[100]] == [4]
+
+
+def test_toxicity_held_out(spark):
+    import random
+
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(900):
+        words = rng.choices(vocabulary, k=60)
+        bad = i % 5 == 0
+        rows.append((i, " ".join(words + rng.sample(["vile", "scumbag", "rotterish", "rotterly"], 2) * bad), 1, int(bad)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, quality int, toxic int")
+    got = toxicity.classify(df.select("doc_id", "text"), df.where("doc_id < 600").select("doc_id", "quality", "toxic")).where("doc_id >= 600").collect()
+    assert sum(r.is_toxic == (r.doc_id % 5 == 0) for r in got) >= 0.97 * len(got)
+    none = toxicity.classify(df.select("doc_id", "text").limit(3), df.select("doc_id", "quality", "toxic").limit(0)).collect()
+    assert not any(r.is_toxic for r in none)
+
+
+def test_secrets_against_brute_force(spark, texts):
+    def base(t):
+        out = [(m.start(), 0, m.end()) for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t, re.I | re.A) if len(m[2]) >= 12]
+        out += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", t) if len(m[0]) >= 18]
+        out += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", t) if len(m[0]) >= 16]
+        return ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(out))
+
+    for r in secrets.op8(spark, SF).collect():
+        assert r.base_sha256 == hashlib.sha256(base(texts[r.doc_id]).encode()).hexdigest()
+
+
+def test_secrets_find_random_tokens(spark):
+    import base64
+
+    token = base64.b64encode(hashlib.sha512(b"k").digest()).decode().rstrip("=")[:44]
+    rows = [(i, f"see therewasoncealongwordofplainletters{'abcdefgh'[i % 8]} é ABCDEFGHIJKLMNOPQRSTUVWXYZabcdef") for i in range(50)] + [(99, f"é key {token} end token=abcdefghijkl. token: passwd: zzzzzzzzzzzzzzz")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert got[0] == rows[0][1]
+    assert got[99] == "é key [SECRET] end [SECRET] token: passwd: zzzzzzzzzzzzzzz"
+
+
+def test_suffix_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(suffix, "HOT", 3000)
+    rng = np.random.default_rng(4)
+    pool, rows = [bytes(rng.integers(97, 100, 300).astype(np.uint8)) for _ in range(5)], []
+    for i in range(100):
+        t = b""
+        for _ in range(rng.integers(0, 4)):
+            k, a = rng.integers(0, 4), rng.integers(0, 150)
+            t += pool[rng.integers(0, 5)][a : a + rng.integers(50, 300)] if k < 2 else b"z" * int(rng.integers(0, 400)) if k == 2 else b"ab" * int(rng.integers(0, 200))
+        rows.append((i, t.decode()))
+    seen, want = set(), {}
+    for i, t in rows:
+        gone = np.zeros(len(t), bool)
+        for p in range(len(t) - 99):
+            if t[p : p + 100] in seen:
+                gone[p : p + 100] = True
+            seen.add(t[p : p + 100])
+        want[i] = "".join(np.array(list(t), "U1")[~gone]) if t else ""
+    got = {r.key: bytes(r.kept).decode() for r in suffix.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), block=3000).collect()}
+    assert got == want
+
+
+def test_pipeline_equals_its_stages(spark):
+    import corpus_pipeline
+
+    out = corpus_pipeline.run(spark, SF)
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "secrets", "mix"]
+    assert 0 < out.count() <= 200 and out.select("doc_id").distinct().count() == out.count()
