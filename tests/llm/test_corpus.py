@@ -227,3 +227,38 @@ def test_pipeline_equals_its_stages(spark):
     out = corpus_pipeline.run(spark, SF)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "secrets", "mix"]
     assert 0 < out.count() <= 200 and out.select("doc_id").distinct().count() == out.count()
+
+
+def test_components_against_union_find(spark):
+    """A random graph, a path in random order, a star, repeated and looped links, and none, in several splits."""
+    from tickloom.llm import components as cc
+
+    def plain(links):
+        parent = {}
+
+        def find(x):
+            while parent.setdefault(x, x) != x:
+                x = parent[x]
+            return x
+
+        for a, b in links:
+            a, b = find(a), find(b)
+            parent[max(a, b)] = min(a, b)
+        return sorted((x, find(x)) for x in parent if find(x) != x)
+
+    rng = np.random.default_rng(1)
+    order = rng.permutation(60)
+    graphs = [rng.integers(0, 80, (70, 2)), np.stack((order[1:], order[:-1]), 1), np.stack((np.full(50, 90), np.arange(50)), 1), np.array([[3, 3], [1, 2], [2, 1], [1, 2]]), np.empty((0, 2), int)]
+    for g in graphs:
+        u, v = cc.stars(g[:, 0], g[:, 1])
+        assert sorted(zip(u.tolist(), v.tolist())) == plain(g.tolist())
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a split for each file
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for g in graphs:
+            found = cc.components(spark.createDataFrame(g.tolist(), "u bigint, v bigint").repartition(3)).collect()
+            assert sorted((r.u, r.v) for r in found) == plain(g.tolist())
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
