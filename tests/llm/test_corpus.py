@@ -262,3 +262,9 @@ def test_components_against_union_find(spark):
     finally:
         spark.conf.set("spark.sql.files.openCostInBytes", before)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("n, most", [(5000, 300), (10, 300), (0, 5)])
+def test_smallest_hashes(spark, n, most):
+    rows = spark.range(n).select(F.col("id").alias("doc_id"))
+    assert toxicity.smallest_hashes(rows, "doc_id", most).collect() == rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()
