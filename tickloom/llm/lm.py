@@ -7,17 +7,19 @@ training tokens, the probability of a token ``w`` after ``u v`` is interpolated
     p(w | v)   = (c(v w) + M2 p(w)) / (c(v) + M2)
     p(w)       = (c(w) + 0.5) / (N + 0.5 (V + 1))
 
-A word ``v`` with over 1 / ``HEAVY`` of all tokens has its middle context split by a hash of ``u``, so that no shard holds
-all of a frequent word; there are at most ``HEAVY`` such words.
+A word ``v`` with over 1 / ``HEAVY`` of all tokens has the level of ``u v`` split by a hash of ``u``, so that no shard holds
+all of a frequent word; there are at most ``HEAVY`` such words.  Their ``p(w | v)`` comes from counts over the whole data:
+the blocks' pairs ``v w`` are summed by a hash of both words, and the blocks get the sums back.
 
 1. Documents are packed into blocks of token numbers with the block's own words; the words' counts meet by hash in
    shards, which give each word a number that is small where the word is frequent, and answer to the blocks.
-2. The blocks deal their trigrams, by middle context, to shards.  A shard builds a trie: contexts ``v``; under each its
+2. The pairs after heavy words are counted in the same way.  The blocks deal their trigrams, by middle context, to shards,
+   each with its ``p(w)``, or ``p(w | v)`` where ``v`` is heavy.  A shard builds a trie: contexts ``v``; under each its
    successors ``w`` and the words ``u`` before it; under each ``u v`` the successors, as ranks among the successors of
    ``v``.  Every level is a monotone sequence in Elias-Fano code, with probabilities and weights as one-byte logarithms.
    The levels are written to one file, memory-mapped, queried and deleted within the task.
 3. The shard sends back one sum for each document of a block.  Nothing of the model or the corpus passes the driver but
-   two totals and the heavy words.
+   two totals and the heavy words with their counts.
 
 Defined cases: null and empty texts are one token, the end; a null id is in the training part; rows with one id are
 scored row by row; without training documents all probabilities are the base's.  Words are told apart by 64-bit hashes.
@@ -40,8 +42,8 @@ M2, M3, HEAVY = 50.0, 20.0, 256
 SHARD_TOKENS, LEAST_SHARDS = 1_200_000, 48
 END, START = np.uint64(1), np.uint64(2)
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-#: Step of the logarithms in a byte: for shares of counts, and for the base's probabilities.
-STEP, BASE_STEP = 0.05, 0.1
+#: Step of the logarithms: for shares of counts, and for the probabilities that come with a trigram.
+STEP, BASE_STEP = 0.05, 0.05
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -110,6 +112,15 @@ class EliasFano:
         return out
 
 
+def _code_of(p: np.ndarray) -> np.ndarray:
+    """Logarithms of base probabilities in two bytes, which hold down to exp(-3276)."""
+    return np.round(-np.log(p) / BASE_STEP).astype(np.int64)
+
+
+def _value_of(code: np.ndarray) -> np.ndarray:
+    return np.exp(-BASE_STEP * code.astype(np.float64))
+
+
 def quantise(p: np.ndarray) -> np.ndarray:
     return np.minimum(np.round(-np.log(np.maximum(p, 1e-300)) / STEP), 255).astype(np.uint8)
 
@@ -173,12 +184,13 @@ class Trie:
         bucket = np.searchsorted(ef.starts, i, "right")
         return ((bucket << ef.low_bits) | ef.lows(i)) - i
 
-    def score(self, u, v, w, p1) -> np.ndarray:
+    def score(self, u, v, w, p1, given=False) -> np.ndarray:
+        """p(w | u v); ``p1`` is p(w), or p(w | v) already where ``given``."""
         width_w, width_u, width_r = self.widths
         take = lambda name, at, default: np.where(at >= 0, dequantise(self.val[name][np.maximum(at, 0)]) if len(self.val[name]) else default, default)
         mid = self.ef["mid"].find(v)
         succ = np.where((mid >= 0) & (w < width_w), self.ef["succ"].find(np.where(w < width_w, mid * width_w + w, -1)), -1)
-        p2 = take("succ_share", succ, 0.0) + take("mid_weight", mid, 1.0) * p1
+        p2 = np.where(given, p1, take("succ_share", succ, 0.0) + take("mid_weight", mid, 1.0) * p1)
         pair = np.where((mid >= 0) & (u < width_u), self.ef["pair"].find(np.where(u < width_u, mid * width_u + u, -1)), -1)
         rank = np.where(succ >= 0, succ - self.begins(np.maximum(mid, 0)), -1) if self.ef["mid"].n else succ
         tri = np.where((pair >= 0) & (rank >= 0), self.ef["tri"].find(np.where(rank >= 0, pair * width_r + rank, -1)), -1)
@@ -285,84 +297,139 @@ def _code(shards: int, total: int, distinct: int, kind: pa.DataType):
                 p1 = (count + 0.5) / (total + 0.5 * (distinct + 1))
                 base = np.bincount(doc, np.log10(p1)[t], len(sizes))
                 known = np.bincount(doc, (count > 0)[t], len(sizes)).astype(np.int64)
-                quant = np.minimum(np.round(-np.log(p1) / BASE_STEP), 255).astype(np.uint8)
+                quant = _code_of(p1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block], pa.int64()), pa.array([keys], pa.list_(kind)), pa.array([train], pa.list_(pa.bool_())), pa.array([sizes.tolist()], pa.list_(pa.int64())), pa.array([known.tolist()], pa.list_(pa.int64())),
-                     pa.array([base.tolist()], pa.list_(pa.float64())), pa.array([_pack(number)], pa.binary()), pa.array([zstandard.compress(quant.tobytes(), 3)], pa.binary()), pa.array([tokens], pa.binary())],
+                     pa.array([base.tolist()], pa.list_(pa.float64())), pa.array([_pack(number)], pa.binary()), pa.array([_pack(quant)], pa.binary()), pa.array([tokens], pa.binary())],
                     ["block", "keys", "train", "sizes", "known", "base", "numbers", "quant", "tokens"],
                 )
 
     return run
 
 
-def _emit_trigrams(shards: int, heavy: dict[int, int]):
+def _grams(numbers: bytes, sizes, tokens: bytes):
+    """Local and global number of each token, the two global numbers before it, and its document; 0 and 1 stand before the
+    first words."""
+    sizes, number = np.array(sizes, np.int64), _unpack(numbers) + 2
+    t, doc = _with_ends(_unpack(tokens), sizes, len(number) - 1)
+    w = number[t]
+    start = np.cumsum(sizes + 1) - sizes - 1
+    v, u = np.roll(w, 1), np.roll(w, 2)
+    v[start], u[start] = 1, 0
+    u[start[sizes > 0] + 1] = 1
+    return t, u, v, w, doc
+
+
+def _slots(v: np.ndarray, heavy: np.ndarray) -> np.ndarray:
+    """The place of each word among the sorted heavy ones, or -1."""
+    if not len(heavy):
+        return np.full(len(v), -1, np.int64)
+    slot = np.minimum(np.searchsorted(heavy, v), len(heavy) - 1)
+    return np.where(heavy[slot] == v, slot, -1)
+
+
+def _heavy_pairs(v, w, heavy: np.ndarray, shards: int):
+    """Positions after a heavy word, their place among the block's distinct pairs, these pairs, and the shard of each."""
+    slot = _slots(v, heavy)
+    at = np.flatnonzero(slot >= 0)
+    pairs, which = np.unique(slot[at] << 33 | w[at], return_inverse=True)
+    return at, which, pairs, (common.mix(pairs.astype(np.uint64)) % np.uint64(shards)).astype(np.int32)
+
+
+def _emit_pairs(shards: int, heavy: np.ndarray):
     def run(batches):
-        split_words = np.array(sorted(heavy), np.int64)
-        split_by = np.array([heavy[k] for k in sorted(heavy)], np.int64)
         for batch in batches:
-            for block, train, sizes, numbers, quant, tokens in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                sizes, number = np.array(sizes, np.int64), _unpack(numbers) + 2  # 0 and 1 stand before the first words
-                q = np.frombuffer(zstandard.decompress(quant), np.uint8)
-                t, doc = _with_ends(_unpack(tokens), sizes, len(number) - 1)
-                w, p1 = number[t], q[t]
-                start = np.cumsum(sizes + 1) - sizes - 1
-                v, u = np.roll(w, 1), np.roll(w, 2)
-                v[start], u[start] = 1, 0
-                second = start[sizes > 0] + 1
-                u[second] = 1
+            for block, train, sizes, numbers, tokens in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                _, _, v, w, doc = _grams(numbers, sizes, tokens)
+                at, which, pairs, shard = _heavy_pairs(v, w, heavy, shards)
+                n = np.bincount(which, np.array(train, float)[doc[at]], len(pairs)).astype(np.int64)
+                order = np.argsort(shard, kind="stable")
+                for p in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else ():
+                    yield pa.RecordBatch.from_arrays([pa.array([int(shard[p[0]])], pa.int32()), pa.array([block], pa.int64()), *(pa.array([_pack(x)], pa.binary()) for x in (pairs[p] >> 33, pairs[p] & (2**33 - 1), n[p]))], ["shard", "block", "slots", "words", "counts"])
+
+    return run
+
+
+def _count_pairs(data: pa.Table) -> pa.Table:
+    """The counts over all blocks of each block's pairs."""
+    pairs = [_unpack(a) << 33 | _unpack(b) for a, b in zip(data["slots"].to_pylist(), data["words"].to_pylist())]
+    distinct, at = np.unique(np.concatenate(pairs), return_inverse=True)
+    n = np.bincount(at, np.concatenate([_unpack(x) for x in data["counts"].to_pylist()]), len(distinct)).astype(np.int64)
+    ends = np.cumsum([len(x) for x in pairs])
+    return pa.table([data["block"], data["shard"], pa.array([_pack(np.minimum(n[x], 2**32 - 1)) for x in np.split(at, ends[:-1])], pa.binary())], ["block", "shard", "counts"])
+
+
+def _emit_trigrams(shards: int, heavy: dict[int, tuple[int, int]]):
+    """heavy: parts and count in training of each heavy word."""
+
+    def run(batches):
+        words = np.array(sorted(heavy), np.int64)
+        split_by, total = (np.array([heavy[k][i] for k in sorted(heavy)], np.int64) for i in range(2))
+        for batch in batches:
+            for block, train, sizes, numbers, quant, tokens, sums in zip(*(batch.column(i).to_pylist() for i in range(7))):
+                t, u, v, w, doc = _grams(numbers, sizes, tokens)
+                p1 = _unpack(quant)[t]
                 part = np.zeros(len(w), np.int64)
-                if len(split_words):
-                    slot = np.minimum(np.searchsorted(split_words, v), len(split_words) - 1)
-                    hot = split_words[slot] == v
-                    part[hot] = (common.mix(u[hot].astype(np.uint64)) % split_by[slot[hot]].astype(np.uint64)).astype(np.int64)
+                hot, which, pairs, home = _heavy_pairs(v, w, words, shards)
+                if len(hot):
+                    slot = pairs >> 33
+                    n = np.empty(len(pairs), np.int64)
+                    for x in sums:
+                        n[home == x["shard"]] = _unpack(x["counts"])
+                    part[hot] = (common.mix(u[hot].astype(np.uint64)) % split_by[slot[which]].astype(np.uint64)).astype(np.int64)
+                    p1[hot] = _code_of(((n[which] + M2 * _value_of(p1[hot])) / (total[slot] + M2)[which]))
                 shard = (common.mix((v * 1024 + part).astype(np.uint64)) % np.uint64(shards)).astype(np.int32)
                 order = np.argsort(shard, kind="stable")
                 flags = np.array(train, bool)
                 for p in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
                     docs, n = np.unique(doc[p], return_counts=True)
                     head = _pack(np.concatenate((np.diff(docs, prepend=0), n * 2 + flags[docs])))
-                    body = (_pack(u[p]), _pack(v[p]), _pack(w[p]), zstandard.compress(part[p].astype(np.uint16).tobytes(), 3), zstandard.compress(p1[p].tobytes(), 3))
+                    body = (_pack(u[p]), _pack(v[p]), _pack(w[p]), zstandard.compress(part[p].astype(np.uint16).tobytes(), 3), _pack(p1[p]))
                     yield pa.RecordBatch.from_arrays([pa.array([int(shard[p[0]])], pa.int32()), pa.array([block], pa.int64()), pa.array([head], pa.binary()), *(pa.array([x], pa.binary()) for x in body)], ["shard", "block", "docs", "u", "v", "w", "part", "p1"])
 
     return run
 
 
-def _score_shard(data: pa.Table) -> pa.Table:
+def _score_shard(heavy: np.ndarray):
     """log10 probability of each block's documents, as far as their trigrams are in this shard."""
-    rows = data.select(["block", "docs", "u", "v", "w", "part", "p1"]).to_pylist()
-    # distinct trigrams of each block first, so that the shard's sort is over fewer rows
-    cols = {c: np.concatenate([_unpack(r[c]) for r in rows]).astype(np.int32) for c in ("u", "v", "w")}
-    part = np.concatenate([np.frombuffer(zstandard.decompress(r["part"]), np.uint16) for r in rows])
-    p1 = np.concatenate([np.frombuffer(zstandard.decompress(r["p1"]), np.uint8) for r in rows])
-    heads = [_unpack(r["docs"]).reshape(2, -1) for r in rows]
-    train = np.concatenate([np.repeat(h[1] & 1, h[1] >> 1) for h in heads])
-    order = np.lexsort((cols["w"], cols["u"], part, cols["v"]))
-    u, v, w, part = (x[order] for x in (cols.pop("u"), cols.pop("v"), cols.pop("w"), part))
-    new = np.ones(len(order), bool)
-    new[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (w[1:] != w[:-1]) | (part[1:] != part[:-1])
-    which = np.empty(len(order), np.int32)
-    which[order] = np.cumsum(new) - 1
-    u, v, w, p = u[new].astype(np.int64), v[new].astype(np.int64) * 1024 + part[new], w[new].astype(np.int64), p1[order][new]
-    n = np.bincount(which, train, len(u)).astype(np.int64)
-    del order, part, p1, new
-    seen = n > 0
-    file, path = tempfile.mkstemp(prefix="trie-")
-    os.close(file)
-    try:
-        trie = Trie(path, Trie.write(path, u[seen], v[seen], w[seen], n[seen]))
-        logs = np.log10(trie.score(u, v, w, np.exp(-BASE_STEP * p.astype(np.float64))))
-        del trie
-    finally:
-        os.unlink(path)
-    out, start = {"block": [], "docs": [], "logs": []}, 0
-    for r, head in zip(rows, heads):
-        count = head[1] >> 1
-        mine = logs[which[start : start + int(count.sum())]]
-        start += int(count.sum())
-        out["block"].append(r["block"])
-        out["docs"].append(_pack(np.cumsum(head[0])))
-        out["logs"].append(np.add.reduceat(mine, np.cumsum(count) - count).tobytes())
-    return pa.table([pa.array(out["block"], pa.int64()), pa.array(out["docs"], pa.binary()), pa.array(out["logs"], pa.binary())], ["block", "docs", "logs"])
+
+    def run(data: pa.Table) -> pa.Table:
+        rows = data.select(["block", "docs", "u", "v", "w", "part", "p1"]).to_pylist()
+        # distinct trigrams of each block first, so that the shard's sort is over fewer rows
+        cols = {c: np.concatenate([_unpack(r[c]) for r in rows]).astype(np.int32) for c in ("u", "v", "w")}
+        part = np.concatenate([np.frombuffer(zstandard.decompress(r["part"]), np.uint16) for r in rows])
+        p1 = np.concatenate([_unpack(r["p1"]).astype(np.uint16) for r in rows])
+        heads = [_unpack(r["docs"]).reshape(2, -1) for r in rows]
+        train = np.concatenate([np.repeat(h[1] & 1, h[1] >> 1) for h in heads])
+        order = np.lexsort((cols["w"], cols["u"], part, cols["v"]))
+        u, v, w, part = (x[order] for x in (cols.pop("u"), cols.pop("v"), cols.pop("w"), part))
+        new = np.ones(len(order), bool)
+        new[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (w[1:] != w[:-1]) | (part[1:] != part[:-1])
+        which = np.empty(len(order), np.int32)
+        which[order] = np.cumsum(new) - 1
+        u, v, w, p = u[new].astype(np.int64), v[new].astype(np.int64) * 1024 + part[new], w[new].astype(np.int64), p1[order][new]
+        n = np.bincount(which, train, len(u)).astype(np.int64)
+        del order, part, p1, new
+        seen = n > 0
+        file, path = tempfile.mkstemp(prefix="trie-")
+        os.close(file)
+        try:
+            trie = Trie(path, Trie.write(path, u[seen], v[seen], w[seen], n[seen]))
+            logs = np.log10(trie.score(u, v, w, _value_of(p), _slots(v >> 10, heavy) >= 0))
+            del trie
+        finally:
+            os.unlink(path)
+        out, start = {"block": [], "docs": [], "logs": []}, 0
+        for r, head in zip(rows, heads):
+            count = head[1] >> 1
+            mine = logs[which[start : start + int(count.sum())]]
+            start += int(count.sum())
+            out["block"].append(r["block"])
+            out["docs"].append(_pack(np.cumsum(head[0])))
+            out["logs"].append(np.add.reduceat(mine, np.cumsum(count) - count).tobytes())
+        return pa.table([pa.array(out["block"], pa.int64()), pa.array(out["docs"], pa.binary()), pa.array(out["logs"], pa.binary())], ["block", "docs", "logs"])
+
+    return run
 
 
 def _finish(kind: pa.DataType):
@@ -393,15 +460,21 @@ def score(docs: DataFrame, held_out: Column, *, key: str = "doc_id", text: str =
     words = common.materialize(words.groupBy("shard").applyInArrow(_count_words(shards), _WORDS), "lm-words")
     total, distinct = words.where("block IS NULL").agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     tops = words.where("block IS NULL").select(F.explode(F.arrays_zip("top", "top_counts")).alias("x")).select("x.*").where(F.col("top_counts") * HEAVY > total)
-    heavy = {r["top"] + 2: min(1023, -(-r["top_counts"] * HEAVY // max(total, 1)) * max(1, shards // HEAVY + 1)) for r in tops.limit(HEAVY).collect()}
+    heavy = {r["top"] + 2: (min(1023, -(-r["top_counts"] * HEAVY // max(total, 1)) * max(1, shards // HEAVY + 1)), r["top_counts"]) for r in tops.limit(HEAVY).collect()}
+    heavy_words = np.array(sorted(heavy), np.int64)
     answers = words.where("block IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("shard", "numbers", "counts")).alias("parts"))
     coded = blocks.join(answers, "block").select("block", "keys", "train", "sizes", "vocab", "tokens", "parts")
     coded = common.materialize(coded.mapInArrow(_code(shards, total, distinct, kind), f"block bigint, keys array<{name}>, train array<boolean>, sizes array<bigint>, known array<bigint>, base array<double>, numbers binary, quant binary, tokens binary"), "lm-coded")
     common.discard(blocks)
     common.discard(words)
     common.tidy(spark)
-    trigrams = coded.select("block", "train", "sizes", "numbers", "quant", "tokens").mapInArrow(_emit_trigrams(shards, heavy), "shard int, block bigint, docs binary, u binary, v binary, w binary, part binary, p1 binary")
-    sums = common.materialize(trigrams.groupBy("shard").applyInArrow(_score_shard, "block bigint, docs binary, logs binary"), "lm-sums")
+    pairs = coded.select("block", "train", "sizes", "numbers", "tokens").mapInArrow(_emit_pairs(shards, heavy_words), "shard int, block bigint, slots binary, words binary, counts binary")
+    pairs = common.materialize(pairs.groupBy("shard").applyInArrow(_count_pairs, "block bigint, shard int, counts binary"), "lm-pairs")
+    common.tidy(spark)
+    with_sums = coded.join(pairs.groupBy("block").agg(F.collect_list(F.struct("shard", "counts")).alias("sums")), "block", "left")
+    trigrams = with_sums.select("block", "train", "sizes", "numbers", "quant", "tokens", "sums").mapInArrow(_emit_trigrams(shards, heavy), "shard int, block bigint, docs binary, u binary, v binary, w binary, part binary, p1 binary")
+    sums = common.materialize(trigrams.groupBy("shard").applyInArrow(_score_shard(heavy_words), "block bigint, docs binary, logs binary"), "lm-sums")
+    common.discard(pairs)
     common.tidy(spark)
     sums = sums.groupBy("block").agg(F.collect_list(F.struct("docs", "logs")).alias("parts"))
     out = coded.select("block", "keys", "train", "sizes", "known", "base").join(sums, "block", "left").select("keys", "train", "sizes", "known", "base", "parts")
