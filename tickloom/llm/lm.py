@@ -16,7 +16,7 @@ the blocks' pairs ``v w`` are summed by a hash of both words, and the blocks get
 2. The pairs after heavy words are counted in the same way.  The blocks deal their trigrams, by middle context, to shards,
    each with its ``p(w)``, or ``p(w | v)`` where ``v`` is heavy.  A shard builds a trie: contexts ``v``; under each its
    successors ``w`` and the words ``u`` before it; under each ``u v`` the successors, as ranks among the successors of
-   ``v``.  Every level is a monotone sequence in Elias-Fano code, with probabilities and weights as one-byte logarithms.
+   ``v``.  Every level is a monotone sequence in Elias-Fano code, with probabilities and weights as two-byte logarithms.
    The levels are written to one file, memory-mapped, queried and deleted within the task.
 3. The shard sends back one sum for each document of a block.  Nothing of the model or the corpus passes the driver but
    two totals and the heavy words with their counts.
@@ -43,7 +43,7 @@ SHARD_TOKENS, LEAST_SHARDS = 1_200_000, 48
 END, START = np.uint64(1), np.uint64(2)
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Step of the logarithms: for shares of counts, and for the probabilities that come with a trigram.
-STEP, BASE_STEP = 0.05, 0.05
+STEP, BASE_STEP = 0.001, 0.05
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -122,7 +122,8 @@ def _value_of(code: np.ndarray) -> np.ndarray:
 
 
 def quantise(p: np.ndarray) -> np.ndarray:
-    return np.minimum(np.round(-np.log(np.maximum(p, 1e-300)) / STEP), 255).astype(np.uint8)
+    """Logarithms in two bytes, which hold down to exp(-65.5) = 3.5e-29, under the share of one in any count of 64 bits."""
+    return np.minimum(np.round(-np.log(np.maximum(p, 1e-300)) / STEP), 65535).astype(np.uint16)
 
 
 def dequantise(q: np.ndarray) -> np.ndarray:
@@ -167,7 +168,7 @@ class Trie:
             layout["begin"] = (count, bits, at, len(low), at + len(low), len(high))
             at += f.write(low.tobytes()) + f.write(high.tobytes())
             for name, x in values.items():
-                layout[name] = (len(x), 0, at, len(x), at + len(x), 0)
+                layout[name] = (len(x), 0, at, x.nbytes, at + x.nbytes, 0)
                 at += f.write(x.tobytes())
         return layout | {"widths": (width_w, width_u, width_r), "bytes": at}
 
@@ -175,7 +176,8 @@ class Trie:
         self.map = np.memmap(path, np.uint8, "r") if layout["bytes"] else np.empty(0, np.uint8)
         part = lambda x: (self.map[x[2] : x[2] + x[3]], self.map[x[4] : x[4] + x[5]])
         self.ef = {k: EliasFano(layout[k][0], layout[k][1], *part(layout[k])) for k in (*self.LEVELS, "begin")}
-        self.val = {k: part(x)[0] for k, x in layout.items() if k.endswith(("_weight", "_share"))}
+        # bytes, as a level may begin at an odd place
+        self.val = {k: part(x)[0].reshape(-1, 2) for k, x in layout.items() if k.endswith(("_weight", "_share"))}
         self.widths = layout["widths"]
 
     def begins(self, i: np.ndarray) -> np.ndarray:
@@ -187,7 +189,7 @@ class Trie:
     def score(self, u, v, w, p1, given=False) -> np.ndarray:
         """p(w | u v); ``p1`` is p(w), or p(w | v) already where ``given``."""
         width_w, width_u, width_r = self.widths
-        take = lambda name, at, default: np.where(at >= 0, dequantise(self.val[name][np.maximum(at, 0)]) if len(self.val[name]) else default, default)
+        take = lambda name, at, default: np.where(at >= 0, dequantise(np.ascontiguousarray(self.val[name][np.maximum(at, 0)]).view(np.uint16)[:, 0]) if len(self.val[name]) else default, default)
         mid = self.ef["mid"].find(v)
         succ = np.where((mid >= 0) & (w < width_w), self.ef["succ"].find(np.where(w < width_w, mid * width_w + w, -1)), -1)
         p2 = np.where(given, p1, take("succ_share", succ, 0.0) + take("mid_weight", mid, 1.0) * p1)
