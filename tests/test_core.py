@@ -98,6 +98,22 @@ def test_forest_flags_outliers_and_round_trips(spark, tmp_path):
         iforest.train(df.limit(10))
 
 
+def test_forest_learns_from_all_rows(spark):
+    from tickloom.operators.features import FEATURES
+
+    # one group of 22,000 equal bars, and 8,000 others
+    i = F.col("id")
+    df = spark.range(30_000).select(F.lit("A").alias("ticker"), F.timestamp_seconds(i * 60).alias("window_start"), *(F.when(i % 15 < 11, 0.5).otherwise(F.randn(k)).alias(c) for k, c in enumerate(FEATURES))).cache()
+    model = iforest.train(df, trees=20)
+    x = df.select(*FEATURES).toPandas().to_numpy()
+    assert np.allclose(model["mean"], x.mean(axis=0)) and np.allclose(model["std"], x.std(axis=0))
+    scores = np.array([r[0] for r in iforest.score(df, model | {"offset": 0.0}).select("anomaly_score").collect()])
+    assert np.isclose(model["offset"], np.quantile(scores, iforest.CONTAMINATION), rtol=0, atol=1e-12)
+    assert all(t[0, 6] == iforest.SAMPLE for t in model["trees"])
+    flagged = iforest.score(df, model).agg(F.sum("is_anomaly")).first()[0]
+    assert 280 <= flagged <= 300
+
+
 def test_arima_flags_a_jump():
     rng, m, z = np.random.default_rng(1), arima.Arima(), []
     for i, x in enumerate(np.cumsum(rng.normal(0, 0.1, 80)) + 100):
