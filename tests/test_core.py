@@ -114,6 +114,18 @@ def test_forest_learns_from_all_rows(spark):
     assert 280 <= flagged <= 300
 
 
+def test_forest_query_is_of_full_size(spark, monkeypatch):
+    from conftest import SF
+
+    from tickloom.plans import catalogue
+
+    real, seen = iforest.train, []
+    monkeypatch.setattr(iforest, "train", lambda f, *a, **k: seen.append((real(f, *a, **k), a, k)) or seen[0][0])
+    assert catalogue.queries()["f_iforest"](spark, SF).count() >= iforest.LEAST_ROWS
+    (model, a, k), = seen
+    assert len(model["trees"]) == 200 and not a and "least" not in k
+
+
 def test_arima_flags_a_jump():
     rng, m, z = np.random.default_rng(1), arima.Arima(), []
     for i, x in enumerate(np.cumsum(rng.normal(0, 0.1, 80)) + 100):

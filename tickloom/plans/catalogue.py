@@ -135,7 +135,7 @@ def queries():
         "e_unmatched_truth": lambda s, d: evaluate.unmatched(evaluate.match(_detections(s, d).where("method = 'volume'"), _truth(s, d)), _truth(s, d)).select("anomaly_id", "ticker"),
         "e_exactly_once_audit": lambda s, d: evaluate.audit(replayed(s, d).where("event_id % 100 <> 7").withColumn("session_id", F.lit("all"))),
         "e_bar_invariants": lambda s, d: B.invariants(B.tumbling(_ticks(s, d), "1h"), 3600),
-        "f_iforest": lambda s, d: (lambda f: _out(iforest.score(f, iforest.train(f, trees=50, least=50)).select("ticker", "window_start", "anomaly_score", "is_anomaly")))(features.build(B.tumbling(_ticks(s, d), "1h"))),
+        "f_iforest": lambda s, d: (lambda f: _out(iforest.score(f, iforest.train(f)).select("ticker", "window_start", "anomaly_score", "is_anomaly")))(features.build(B.tumbling(_ticks(s, d), "1h"))),
         "f_arima": lambda s, d: _out(arima.residual_series(B.tumbling(_ticks(s, d), "1h"))),
         "f_anomalies": lambda s, d: _out(_anomalies(s, d)),
     }
