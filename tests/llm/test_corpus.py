@@ -178,6 +178,30 @@ def test_vectors_in_cells_against_brute_force(spark):
     assert [got[i] for i in range(900, 906)] == [(0, 900), (0, 901), (0, 902), (0, 903), (1, 904), (1, 904)]
 
 
+def test_mix_by_weight(spark):
+    rows = [(i, "w " * (1 + i % 7), "s", 1.0 + 9.0 * (i % 2)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, good double")
+    got = {r.doc_id: r for r in mix.mix(df, weight="good", share=0.3).collect()}
+    size = {i: 1 + i % 7 for i, *_ in rows}
+    mass = sum(size[i] * g for i, _, _, g in rows)
+    rest = 0.3 * sum(size.values())
+
+    def rank(i, g):
+        u = (int(hashlib.md5(str(i).encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        p = rest / mass * g
+        return 0.0 if p >= 1 else (u / (1 - u)) / (p / (1 - p))
+
+    taken, words = set(), 0
+    for i in sorted(size, key=lambda i: rank(i, rows[i][3])):
+        if words + size[i] / 2 > rest:
+            break
+        taken.add(i)
+        words += size[i]
+    assert {i for i, r in got.items() if r.copies} == taken
+    odd = sum(i % 2 for i in taken)
+    assert 8 < odd / (len(taken) - odd) < 12.5
+
+
 def test_pii_base_and_context(spark):
     t = "mail a.b@c.org@d.net 1.2.3.4.5.6.7.8 300.1.1.1 card 4111 1111-1111 1111 or +1 (386) 555-8773 x@y"
     want = [(0, *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
