@@ -229,6 +229,18 @@ def test_toxicity_held_out(spark):
     assert not any(r.is_toxic for r in none)
 
 
+def test_toxicity_trains_on_whole_documents(spark, monkeypatch):
+    text = " ".join(f"word{i}" for i in range(40_000))
+    df = spark.createDataFrame([(i, text if i == 1 else f"short text {i}", 1, i % 2) for i in range(40)], "doc_id bigint, text string, quality int, toxic int")
+    want = len(toxicity.Features()(text.encode()))
+    assert want > 20_000
+    rows, _, _ = toxicity.training_rows(df.select("doc_id", "text"), df.drop("text"), "doc_id", "text", 100)
+    assert len(rows) == 40 and max(map(len, rows)) == want
+    monkeypatch.setattr(toxicity, "MAX_FEATURES", 60)
+    rows, y, folds = toxicity.training_rows(df.where("doc_id <> 1").select("doc_id", "text"), df.drop("text"), "doc_id", "text", 100)
+    assert 0 < len(rows) == len(y) == len(folds) < 39 and sum(map(len, rows)) <= 60
+
+
 def test_secrets_against_brute_force(spark, texts):
     def base(t):
         out = [(m.start(), 0, m.end()) for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t, re.I | re.A) if len(m[2]) >= 12]

@@ -26,8 +26,8 @@ from . import common
 #: name, column of the labels, the value that means the category holds.
 CHAIN = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
 BITS = 18
-#: Bound of the labelled sample, in documents, and of the features kept of each for training.
-MAX_TRAIN, MAX_FEATURES = 12_000, 20_000
+#: Bound of the labelled sample, in documents and in all their features; documents stay whole.
+MAX_TRAIN, MAX_FEATURES = 12_000, 40_000_000
 FOLDS = 3
 PREFIX_BYTES = 5
 #: A feature is used where so many training documents have it, and their share of the category differs by so many
@@ -152,10 +152,18 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, max_t
         for batch in batches:
             found = []
             for _, texts in common.chunks(batch, "_text"):
-                found += [np.sort(features(t))[:MAX_FEATURES] for t in texts]
+                found += [np.sort(features(t)) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32())), *(batch.column(2 + i) for i in range(len(names)))], ["key", "idx", *names])
 
-    rows = chosen.mapInArrow(extract, T.StructType([T.StructField("key", chosen.schema["_key"].dataType), T.StructField("idx", T.ArrayType(T.IntegerType())), *(T.StructField(n, T.IntegerType()) for n in names)])).toArrow()
+    found = common.materialize(chosen.mapInArrow(extract, T.StructType([T.StructField("key", chosen.schema["_key"].dataType), T.StructField("idx", T.ArrayType(T.IntegerType())), *(T.StructField(n, T.IntegerType()) for n in names)])), "tox-rows")
+    # whole documents, by the smallest hashes, as far as the sample's features go
+    total, border = 0, None
+    for h, n in found.groupBy(F.xxhash64("key").alias("h")).agg(F.sum(F.size("idx"))).orderBy("h").collect():
+        total += n
+        if border is not None and total > MAX_FEATURES:
+            break
+        border = h
+    rows = found.where(F.xxhash64("key") <= F.lit(border)).toArrow()
     order = sorted(range(len(rows)), key=lambda i: (xxhash.xxh3_64_intdigest(str(rows["key"][i].as_py()).encode()), i))
     idx = rows["idx"].combine_chunks() if len(rows) else []
     found = [np.asarray(idx[i].values) for i in order]
