@@ -8,27 +8,40 @@ from pyspark.sql import Column, functions as F
 NUDGE = 1e-9
 
 
+def _col(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
 def rounded(c: Column, digits: int) -> Column:
     return F.round(c + F.lit(NUDGE), digits)
 
 
+def move(first: Column | str, last: Column | str) -> Column:
+    """The relative change; null where the first value is zero."""
+    return F.try_divide(_col(last) - _col(first), _col(first))
+
+
 def bucket(ts: Column | str, seconds: int) -> Column:
     """Start of the epoch-aligned window that holds ``ts``."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.timestamp_seconds(F.floor(F.unix_micros(c) / 1_000_000 / seconds) * seconds)
+    return F.timestamp_seconds(F.floor(F.unix_micros(_col(ts)) / 1_000_000 / seconds) * seconds)
+
+
+def month(ts: Column | str) -> Column:
+    """The month as ``yyyyMM``."""
+    return F.date_format(_col(ts), "yyyyMM")
 
 
 def ntz(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("timestamp_ntz")
+    return _col(c).cast("timestamp_ntz")
 
 
 def epoch_ms(c: Column | str) -> Column:
-    return F.unix_millis(F.col(c) if isinstance(c, str) else c)
+    return F.unix_millis(_col(c))
 
 
 def iso_utc(c: Column | str) -> Column:
     """ISO text with a UTC offset, to the millisecond."""
-    return F.date_format(F.col(c) if isinstance(c, str) else c, "yyyy-MM-dd'T'HH:mm:ss.SSSxxx")
+    return F.date_format(_col(c), "yyyy-MM-dd'T'HH:mm:ss.SSSxxx")
 
 
 def side_code(side: Column) -> Column:
@@ -44,3 +57,31 @@ def readable_size(n: Column) -> Column:
 
 def annotation(method: Column, score: Column) -> Column:
     return F.concat(method, F.lit(" "), F.round(score, 1).cast("string"), F.lit("σ"))
+
+
+def uniform(seed: int, *on: Column | str) -> Column:
+    """A number in (0, 1) that depends on the values alone: the same on every run, machine and partitioning."""
+    h = F.xxhash64(F.lit(seed), *map(_col, on))
+    return (F.shiftrightunsigned(h, 11).cast("double") + 0.5) / F.lit(2.0**53)
+
+
+def normal(seed: int, *on: Column | str) -> Column:
+    """A standard normal number by the polar form of two uniform ones."""
+    radius = F.sqrt(-2 * F.log(uniform(seed, F.lit("r"), *on)))
+    return radius * F.cos(2 * F.pi() * uniform(seed, F.lit("a"), *on))
+
+
+def poisson(rate: Column, seed: int, *on: Column | str, exact_below: float = 24.0) -> Column:
+    """A Poisson number.  Small rates by inversion, summing probabilities up to 96; others by a normal number with the
+    first correction for skewness."""
+    u, z = uniform(seed, F.lit("p"), *on), normal(seed, F.lit("n"), *on)
+    small = F.least(rate, F.lit(exact_below))
+    zero = F.struct(F.exp(-small).alias("p"), F.exp(-small).alias("sum"), F.lit(0).alias("n"))
+
+    def step(acc, k):
+        p = acc["p"] * small / k
+        return F.struct(p.alias("p"), (acc["sum"] + p).alias("sum"), F.when(u > acc["sum"], k).otherwise(acc["n"]).alias("n"))
+
+    inverse = F.aggregate(F.sequence(F.lit(1), F.lit(96)), zero, step, lambda acc: acc["n"])
+    large = F.greatest(F.floor(rate + F.sqrt(rate) * z + (z * z - 1) / 6 + 0.5), F.lit(0))
+    return F.when(rate < exact_below, inverse).otherwise(large).cast("bigint")

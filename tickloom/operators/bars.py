@@ -1,7 +1,8 @@
 """OHLCV bars: tumbling, session, partial states and their merge, deduplication, reconciliation, lateness.
 
 Every aggregate orders by one number (``seq`` follows time within a ticker), so that Spark keeps hash aggregation with
-map-side partial states; where times tie, pass a struct.
+map-side partial states; where times tie, pass a struct.  Prices are summed as doubles, at full precision: the order of a
+sum shows in its last digits, which the rounded vwap drops.
 """
 
 from __future__ import annotations
@@ -15,13 +16,13 @@ VALUES = ("open", "high", "low", "close", "volume", "vwap", "tick_count")
 
 
 def _pv() -> Column:
-    return F.col("price").cast("decimal(18,2)") * F.col("volume")
+    return F.col("price") * F.col("volume")
 
 
 def ohlcv(order: str | Column = "seq") -> list[Column]:
     """Aggregates of a bar: open and close by ``order``, vwap or the close where nothing was traded."""
     o = F.col(order) if isinstance(order, str) else order
-    pv, vol, close = F.sum(_pv()).cast("double"), F.sum("volume"), F.max_by("price", o)
+    pv, vol, close = F.sum(_pv()), F.sum("volume"), F.max_by("price", o)
     return [
         F.min_by("price", o).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), close.alias("close"), vol.alias("volume"),
         F.when(vol != 0, rounded(pv / vol, 4)).otherwise(close).alias("vwap"), F.count(F.lit(1)).alias("tick_count"),
@@ -59,13 +60,15 @@ def merge(states: DataFrame) -> DataFrame:
     """Bars from states; vwap is null where nothing was traded."""
     return states.groupBy("ticker", "window_start").agg(
         F.min_by("open_st.price", "open_st.seq").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close_st.price", "close_st.seq").alias("close"),
-        F.sum("volume").alias("volume"), F.try_divide(F.sum("pv").cast("double"), F.sum("volume")).alias("vwap"), F.sum("n").alias("tick_count"),
+        F.sum("volume").alias("volume"), F.try_divide(F.sum("pv"), F.sum("volume")).alias("vwap"), F.sum("n").alias("tick_count"),
     )
 
 
 def replace_by(df: DataFrame, keys: list[str], version: str) -> DataFrame:
-    """Merge-on-read deduplication: for each key the row with the newest version, in one hash-partitioned aggregate."""
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in df.columns if c not in keys]), version).alias("x")).select(*keys, "x.*")
+    """Merge-on-read deduplication: for each key the row with the newest version, in one hash-partitioned aggregate.  Of rows
+    with one version the greatest by the other columns stays, so that reruns agree."""
+    rest = [c for c in df.columns if c not in keys and c != version]
+    return df.groupBy(*keys).agg(F.max(F.struct(version, *rest)).alias("x")).select(*keys, *(F.col(f"x.{c}").alias(c) for c in df.columns if c not in keys))
 
 
 def final(bars: DataFrame, arrival: str = "arrival") -> DataFrame:
@@ -121,6 +124,18 @@ def late_split(ticks: DataFrame, arrival: str, sizes: list[str], out_of_order: i
     return t.withColumns({"bar_size": F.col("s.bar_size"), "late": late}).drop("s", "watermark")
 
 
+def reconcile_counts(emitted: DataFrame, stored: DataFrame, *keys: str) -> DataFrame:
+    """Rows emitted and stored for each of ``keys``, and whether they are as many; a key that one side lacks has 0 there."""
+    e, s = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)) for df, n in ((emitted, "emitted"), (stored, "stored")))
+    both = e.join(s, list(keys), "full_outer").withColumns({n: F.coalesce(n, F.lit(0).cast("bigint")) for n in ("emitted", "stored")})
+    return both.withColumn("equal", F.col("emitted") == F.col("stored"))
+
+
+def bad_ranges(daily: DataFrame) -> DataFrame:
+    """Daily rows whose high is under their low."""
+    return daily.where(F.col("high") < F.col("low"))
+
+
 def expire(df: DataFrame, column: str, as_of: Column, days: int) -> DataFrame:
     """Rows within their time to live."""
     return df.where(F.col(column) >= F.timestamp_micros(F.unix_micros(as_of) - days * 86_400_000_000))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.functions.scalar import bucket, rounded
+from tickloom.functions.scalar import bucket, move, rounded
 
 
 def since(df: DataFrame, column: str, as_of: Column, seconds: int) -> DataFrame:
@@ -16,8 +16,7 @@ def count_by(df: DataFrame, *keys) -> DataFrame:
 
 
 def per_second(ticks: DataFrame) -> DataFrame:
-    cents = F.sum(F.col("price").cast("decimal(18,2)")).cast("double")
-    return ticks.groupBy("ticker", F.date_trunc("second", "ts").alias("second")).agg((cents / F.count(F.lit(1))).alias("avg_price"))
+    return ticks.groupBy("ticker", F.date_trunc("second", "ts").alias("second")).agg(F.avg("price").alias("avg_price"))
 
 
 def last_price(ticks: DataFrame) -> DataFrame:
@@ -26,17 +25,20 @@ def last_price(ticks: DataFrame) -> DataFrame:
 
 
 def top_movers(bars: DataFrame, limit: int = 10) -> DataFrame:
-    """The largest moves from the first open to the last close."""
+    """The largest moves from the first open to the last close; a first open of zero has no move and comes last."""
     m = bars.groupBy("ticker").agg(F.min_by("open", "window_start").alias("first_open"), F.max_by("close", "window_start").alias("last_close"))
-    move = rounded((F.col("last_close") - F.col("first_open")) / F.col("first_open") * 100, 2)
-    return m.withColumn("pct", move).orderBy(F.abs("pct").desc(), "ticker").limit(limit)
+    return m.withColumn("pct", rounded(move("first_open", "last_close") * 100, 2)).orderBy(F.abs("pct").desc_nulls_last(), "ticker").limit(limit)
+
+
+def recent_movers(bars: DataFrame, as_of: Column, seconds: int = 900, limit: int = 10) -> DataFrame:
+    """``top_movers`` of the one-minute bars that began in the last ``seconds``."""
+    return top_movers(since(bars.where(F.col("bar_size") == "1m"), "window_start", as_of, seconds), limit)
 
 
 def sector_pulse(bars: DataFrame, dim: DataFrame) -> DataFrame:
-    """Instruments, mean move and volume of each sector."""
-    move = (F.col("close") - F.col("open")) / F.col("open") * 100
+    """Instruments, mean move and volume of each sector; bars that open at zero have no move."""
     b = bars.join(dim.select("ticker", "sector").distinct(), "ticker")
-    return b.groupBy("sector").agg(F.count_distinct("ticker").alias("tickers"), rounded(F.avg(move), 3).alias("avg_move"), F.sum("volume").alias("volume")).orderBy(F.col("avg_move").desc(), "sector")
+    return b.groupBy("sector").agg(F.count_distinct("ticker").alias("tickers"), rounded(F.avg(move("open", "close") * 100), 3).alias("avg_move"), F.sum("volume").alias("volume")).orderBy(F.col("avg_move").desc_nulls_last(), "sector")
 
 
 def max_volume(bars: DataFrame, ticker: str) -> DataFrame:

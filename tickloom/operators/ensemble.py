@@ -11,6 +11,11 @@ def severity(anomalies: DataFrame, seconds: int = 30) -> DataFrame:
     return anomalies.groupBy("ticker", bucket("ts", seconds).alias("bucket")).agg(F.count_distinct("detection_method").alias("ensemble_severity"))
 
 
+def highest(anomalies: DataFrame, seconds: int = 30) -> DataFrame:
+    """The largest severity of all buckets; null without anomalies."""
+    return severity(anomalies, seconds).agg(F.max("ensemble_severity").alias("max_severity"))
+
+
 def feed(anomalies: DataFrame, seconds: int = 30, limit: int | None = 100) -> DataFrame:
     """The latest anomalies with their bucket's severity."""
     a = anomalies.withColumn("bucket", bucket("ts", seconds))

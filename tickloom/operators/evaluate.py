@@ -2,36 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-BROADCAST_TRUTHS = 100_000
+#: Truths and detections meet in slots of so many milliseconds.
+SLOT_MS = 600_000
 
 
 def match(detections: DataFrame, truth: DataFrame, grace_s: int = 90, early_s: int = 5) -> DataFrame:
-    """``detections`` (det_id, ticker, ts, method) with the first truth in list order whose interval holds them, if any."""
-    t = truth.select("ticker", "anomaly_id", "truth_pos", F.unix_millis("start_ts").alias("a"), F.unix_millis("end_ts").alias("b"))
-    t = F.broadcast(t) if t.count() <= BROADCAST_TRUTHS else t
-    ms = F.unix_millis(detections["ts"])
-    d = detections.withColumn("ms", ms).withColumnRenamed("ticker", "det_ticker")
-    j = d.join(t, (F.col("det_ticker") == F.col("ticker")) & (F.col("ms") >= F.col("a") - early_s * 1000) & (F.col("ms") <= F.col("b") + grace_s * 1000), "left")
+    """``detections`` (det_id, ticker, ts, method) with the first truth in list order whose interval holds them, if any.
+
+    A truth stands in every slot that its interval touches, a detection in one, so the join is on ticker and slot: a pair
+    meets once, and Spark broadcasts the truths where they turn out to be small.
+    """
+    a, b = F.unix_millis("start_ts"), F.unix_millis("end_ts")
+    t = truth.select("ticker", "anomaly_id", "truth_pos", a.alias("a"), (a - early_s * 1000).alias("lo"), (b + grace_s * 1000).alias("hi")).where("lo <= hi")
+    t = t.withColumn("slot", F.explode(F.sequence(F.floor(F.col("lo") / SLOT_MS), F.floor(F.col("hi") / SLOT_MS))))
+    d = detections.withColumn("ms", F.unix_millis("ts")).withColumn("det_slot", F.floor(F.col("ms") / SLOT_MS)).withColumnRenamed("ticker", "det_ticker")
+    j = d.join(t, (F.col("det_ticker") == F.col("ticker")) & (F.col("det_slot") == F.col("slot")) & F.col("ms").between(F.col("lo"), F.col("hi")), "left")
     first = F.min_by(F.struct("anomaly_id", F.col("a").alias("start_ms")), "truth_pos").alias("x")
     return j.groupBy("det_id", F.col("det_ticker").alias("ticker"), "method", "ms").agg(first).select("det_id", "ticker", "method", "ms", "x.anomaly_id", "x.start_ms")
 
 
-def scores(matched: DataFrame, n_truth: int) -> DataFrame:
-    """Precision, recall, F1, false positives and median latency of each method."""
+def _number(truth: DataFrame | int) -> Column:
+    """How many truths there are: a number, or a scalar subquery over them."""
+    return F.lit(truth) if isinstance(truth, int) else truth.agg(F.count(F.lit(1))).scalar()
+
+
+def scores(matched: DataFrame, truth: DataFrame | int) -> DataFrame:
+    """Precision, recall, F1, false positives and median latency of each method; without truths the recall is 0."""
     hits = matched.where("anomaly_id IS NOT NULL").groupBy("method", "anomaly_id").agg(((F.min("ms") - F.first("start_ms")) / 1000).alias("latency"))
     hits = hits.groupBy("method").agg(F.count(F.lit(1)).alias("hit"), F.percentile("latency", F.lit(0.5)).alias("median_latency"))
     n = matched.groupBy("method").agg(F.count(F.lit(1)).alias("detections"), F.count("anomaly_id").alias("matched"))
-    df = n.join(hits, "method", "left")
-    p, r = F.col("matched") / F.col("detections"), F.coalesce(F.col("hit"), F.lit(0)) / F.lit(n_truth)
-    f1 = F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
-    return df.select("method", "detections", F.round(p + 1e-9, 3).alias("precision"), F.round(r + 1e-9, 3).alias("recall"), F.round(f1 + 1e-9, 3).alias("f1"), (F.col("detections") - F.col("matched")).alias("false_positives"), F.round(F.col("median_latency") + 1e-9, 1).alias("median_latency"))
+    df = n.join(hits, "method", "left").withColumn("truths", _number(truth))
+    df = df.withColumns({"p": F.col("matched") / F.col("detections"), "r": F.coalesce(F.try_divide(F.coalesce("hit", F.lit(0)), F.col("truths")), F.lit(0.0))})
+    f1 = F.coalesce(F.try_divide(2 * F.col("p") * F.col("r"), F.col("p") + F.col("r")), F.lit(0.0))
+    return df.select("method", "detections", F.round(F.col("p") + 1e-9, 3).alias("precision"), F.round(F.col("r") + 1e-9, 3).alias("recall"), F.round(f1 + 1e-9, 3).alias("f1"), (F.col("detections") - F.col("matched")).alias("false_positives"), F.round(F.col("median_latency") + 1e-9, 1).alias("median_latency"))
 
 
-def ensemble_recall(matched: DataFrame, n_truth: int, methods: int = 2) -> DataFrame:
+def ensemble_recall(matched: DataFrame, truth: DataFrame | int, methods: int = 2) -> DataFrame:
     by = matched.where("anomaly_id IS NOT NULL").groupBy("anomaly_id").agg(F.count_distinct("method").alias("m"))
-    return by.agg(F.count_if(F.col("m") >= methods).alias("hit")).withColumn("recall", F.round(F.col("hit") / n_truth + 1e-9, 3))
+    hit = by.agg(F.count_if(F.col("m") >= methods).alias("hit")).withColumn("truths", _number(truth))
+    return hit.select("hit", F.round(F.coalesce(F.try_divide(F.col("hit"), F.col("truths")), F.lit(0.0)) + 1e-9, 3).alias("recall"))
 
 
 def unmatched(matched: DataFrame, truth: DataFrame) -> DataFrame:

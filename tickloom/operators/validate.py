@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom import schemas
 
+#: Required by the reduced validator.
+REDUCED = ("ticker", "timestamp_ist", "price", "volume", "side")
 LOWEST, HIGHEST = "2020-01-01 00:00:00+00:00", "2035-01-01 00:00:00+00:00"
 
 
@@ -61,11 +63,30 @@ def unknown(ticks: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def cloud(ticks: DataFrame, dim: DataFrame) -> DataFrame:
-    """The reduced validator: positive price, volume not negative, known side; sector or 'Other'; fewer columns."""
+    """The reduced validator on typed ticks: positive price, volume not negative, known side; sector or 'Other'; fewer columns."""
     ok = (F.col("price") > 0) & (F.col("volume") >= 0) & F.col("side").isin("BUY", "SELL")
     return ticks.where(ok).join(dim.select("ticker", "sector"), "ticker", "left").select("ticker", F.col("ts").alias("event_ts"), "price", "volume", "side", F.coalesce("sector", F.lit("Other")).alias("sector"))
 
 
+def reduced(raw: DataFrame, dim: DataFrame, value: str = "value") -> DataFrame:
+    """The reduced validator on raw JSON: five required fields, price, volume and side; no check of time or ticker.
+
+    Every document, with ``reject`` (null where accepted): parse, missing, price, volume, side.
+    """
+    df = parse(raw, value)
+    missing = F.lit(False)
+    for f in REDUCED:
+        missing = missing | F.col(f"t.{f}").isNull()
+    why = (
+        F.when(F.col("t").isNull(), "parse").when(missing, "missing")
+        .when(F.coalesce(~(F.col("price") > 0) | F.isnan("price"), F.lit(True)), "price").when(F.coalesce(~(F.col("volume") >= 0), F.lit(True)), "volume")
+        .when(~F.col("t.side").isin("BUY", "SELL"), "side")
+    )
+    d = dim.select(F.col("ticker").alias("dim_ticker"), "sector")
+    found = df.withColumn("reject", why).join(d, F.col("t.ticker") == F.col("dim_ticker"), "left")
+    return found.select("reject", F.col("t.ticker").alias("ticker"), F.col("t.timestamp_ist").alias("event_ts"), "price", "volume", F.col("t.side").alias("side"), F.coalesce("sector", F.lit("Other")).alias("sector"))
+
+
 def to_json(df: DataFrame) -> DataFrame:
     """Rows as compact JSON."""
     return df.select(F.to_json(F.struct("*")).alias("value"))

@@ -1,4 +1,4 @@
-"""Sources: ticks from tables, files, streams and framed bytes; dimensions; ground truth."""
+"""Sources: ticks from tables, files, streams and framed bytes; JSON rows with their errors; dimensions; ground truth."""
 
 from __future__ import annotations
 
@@ -6,20 +6,28 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from tickloom import schemas
 
+#: Records of a topic, as Kafka has them.
+RECORD = "key binary, value binary, timestamp timestamp"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def from_events(spark: SparkSession, sf_dir: str, key: str = "event_type") -> DataFrame:
-    """The events table as ticks: ``key`` is event_type (few dense tickers) or user_id (many sparse ones)."""
+    """The events table as ticks: ``key`` is event_type (few dense tickers) or user_id (many sparse ones).  ``seq`` is the
+    source's own number, which goes up with time."""
     e = table(spark, sf_dir, "events")
     ticker = F.col("event_type") if key == "event_type" else F.concat(F.lit("U"), F.col("user_id"))
-    t = e.select(
+    return e.select(
         ticker.alias("ticker"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("price"), F.get_json_object("props", "$.k").cast("bigint").alias("volume"),
-        F.when(F.col("event_id") % 2 == 0, "BUY").otherwise("SELL").alias("side"), F.lit("NSE").alias("exchange"), F.concat(F.lit("sess-"), F.date_format("ts", "yyyyMMdd")).alias("session_id"), "event_id", "user_id",
+        F.when(F.col("event_id") % 2 == 0, "BUY").otherwise("SELL").alias("side"), F.lit("NSE").alias("exchange"), F.concat(F.lit("sess-"), F.date_format("ts", "yyyyMMdd")).alias("session_id"), "event_id", "user_id", F.col("event_id").alias("seq"),
     )
-    return t.withColumn("seq", (F.row_number().over(W.partitionBy("ticker").orderBy("ts", "event_id")) - 1).cast("bigint"))
+
+
+def numbered(ticks: DataFrame, order: tuple[str, ...] = ("ts", "seq"), by: tuple[str, ...] = ("ticker",)) -> DataFrame:
+    """``ticks`` with ``seq`` as the dense number of each key's ticks, from 0.  It sorts each key: only for queries that need it."""
+    return ticks.withColumn("seq", (F.row_number().over(W.partitionBy(*by).orderBy(*order)) - 1).cast("bigint"))
 
 
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,10 +61,40 @@ def json_stream(spark: SparkSession, path: str, max_files: int = 100) -> DataFra
     return spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
 
 
+def topic_stream(spark: SparkSession, path: str, max_files: int = 100) -> DataFrame:
+    """Records (key, value, timestamp) from a topic's folder, in the order in which they were written; values stay bytes."""
+    return spark.readStream.schema(RECORD).option("maxFilesPerTrigger", max_files).parquet(path)
+
+
+def topic_drain(spark: SparkSession, path: str) -> DataFrame:
+    """All records that a topic's folder holds now."""
+    return spark.read.schema(RECORD).parquet(path)
+
+
 def kafka_stream(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """Raw values from Kafka: committed ones only, from the earliest offset (then from the checkpoint)."""
+    """Records from Kafka: committed ones only, from the earliest offset (then from the checkpoint); values stay bytes."""
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest", "kafka.isolation.level": "read_committed"}
-    return spark.readStream.format("kafka").options(**options).load().select(F.col("value").cast("string").alias("value"))
+    return spark.readStream.format("kafka").options(**options).load().select("key", "value", "timestamp")
+
+
+def text(records: DataFrame) -> DataFrame:
+    """Records with their values as UTF-8 text."""
+    return records.withColumn("value", F.col("value").cast("string"))
+
+
+def json_rows(raw: DataFrame, schema: str, value: str = "value") -> DataFrame:
+    """One row for each JSON document, with ``_error`` (empty where it was read) and ``_raw_message``.
+
+    A document that isn't of ``schema`` keeps its text and has null fields; nothing is dropped here.
+    """
+    names = [f.split()[0] for f in schema.split(", ")]
+    t = raw.withColumn("_t", F.from_json(value, f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
+    bad = F.col("_t").isNull() | F.col("_t._bad").isNotNull()
+    return t.select(*(F.when(~bad, F.col(f"_t.{n}")).alias(n) for n in names), F.when(bad, "the row is no JSON of this schema").otherwise("").alias("_error"), F.col(value).alias("_raw_message"))
+
+
+def accepted(rows: DataFrame) -> DataFrame:
+    return rows.where(F.length("_error") == 0).drop("_error", "_raw_message")
 
 
 def archive(spark: SparkSession, path: str) -> DataFrame:
