@@ -1,51 +1,66 @@
-"""Shared plumbing: scratch tables in the cluster's checkpoint folder, text access, word hashing."""
+"""Shared plumbing: scratch tables in the cluster's checkpoint folder, text access, word hashing, joins on hot keys."""
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
+
+from tickloom.functions.scratch import discard, materialize, scratch_dir  # noqa: F401
 
-#: Only where the session names no shared folder (local tests).
-LOCAL_SCRATCH = "file:///tmp/checkpoints"
 #: Bytes of text a Python worker turns into words at once.
 CHUNK_BYTES = 2_000_000
+#: A key with more rows than one in ``HOT_SHARE`` of all (and than ``HOT_LEAST``) is hot; there are fewer than ``HOT_SHARE``.
+HOT_SHARE, HOT_LEAST = 20_000, 500
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_SCRATCH).rstrip("/")
+def small_batches(spark: SparkSession, most: int = 16 << 20) -> None:
+    """Bounds the bytes of an Arrow batch of this session, so that a batch of very long texts stays small.
+
+    Spark reads the setting when a plan runs, and results are lazy, so it stays; a smaller one is left as it is.
+    """
+    now = spark.conf.get(_BATCH, None)
+    if now is None or not now.isdigit() or not 0 < int(now) <= most:
+        spark.conf.set(_BATCH, str(most))
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Writes ``df`` to the shared scratch folder and reads it back: lineage ends there, and a lost executor loses nothing."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.scratch_path = path
-    return out
+def arrow_type(kind: T.DataType) -> pa.DataType:
+    return to_arrow_type(kind)
 
 
-def discard(df: DataFrame) -> None:
-    """Deletes a materialised table that no later plan reads any more."""
-    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
-    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+def out_names(df: DataFrame, names, prefix: str = "") -> dict[str, str]:
+    """What an operator's new columns are called: ``prefix`` and name, with underscores where ``df`` has that already."""
+    return {n: free_name(df, prefix + n) for n in names}
 
 
-def small_batches(spark: SparkSession, most: int = 16 << 20) -> None:
-    """Bounds the bytes of an Arrow batch, so that a batch of very long texts stays small."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
+def join_hot(big: DataFrame, small: DataFrame, key: str, count: str, total: int, how: str = "inner") -> DataFrame:
+    """``big`` (inner) join ``small`` on ``key``, where ``small`` has one row for a key, with its ``count`` of rows in ``big``.
+
+    Hot keys, fewer than ``HOT_SHARE`` of them, are broadcast; the others are joined by a shuffle, in which no key has more
+    rows than the limit.  ``total`` is the number of rows of ``big``, which is read twice: a written table.
+    """
+    limit = max(HOT_LEAST, total // HOT_SHARE)
+    hot = F.broadcast(small.where(F.col(count) > limit))
+    cold = big.join(hot.select(key), key, "left_anti").join(small.where(F.col(count) <= limit), key, how)
+    return cold.unionByName(big.join(hot, key))
 
 
-def with_key(df: DataFrame, name: str) -> DataFrame:
-    """Adds a row number that is unique while the plan's partitions stay put; callers materialise it at once."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+def numbered(df: DataFrame, column: str, out: str) -> DataFrame:
+    """``df`` with ``out``, the number of its row in the order of ``column`` (null last), from 0.  The rows are dealt by
+    ranges; each range is numbered by itself and starts where the counts of those before end."""
+    order = F.col(column).asc_nulls_last()
+    dealt = materialize(df.repartitionByRange(order).withColumn("_part", F.spark_partition_id()), "numbered")
+    counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # a row for each range
+    before = counts.withColumn("_before", F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).drop("_n")
+    within = F.row_number().over(W.partitionBy("_part").orderBy(order)) - 1
+    return dealt.withColumn("_within", within).join(F.broadcast(before), "_part").withColumn(out, (F.col("_within") + F.col("_before")).cast("bigint")).drop("_part", "_within", "_before")
 
 
 def free_name(df: DataFrame, name: str) -> str:

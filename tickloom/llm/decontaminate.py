@@ -1,12 +1,14 @@
 """Benchmark decontamination: a broadcast set of normalised test n-grams against the training texts' word windows.
 
-The windows of the benchmark (``n`` consecutive words; an item of fewer words is one window of its own length) go to
-the executors as a Python broadcast, in blocks of at most ``block_windows`` windows.  A benchmark of one block is
-matched in one pass without any shuffle; a larger one in as many passes, each over a table written by the one before.
-Window hashes only nominate; each hit is verified word by word.
-
-Defined cases: null and empty texts have no words, no hits and are not contaminated; items without words are skipped;
-rows with the same doc_id or item_id are judged row by row and as one item; other columns are carried untouched.
+The windows of the benchmark (``n`` consecutive words; an item of fewer words is one window of its own length) are made
+distinct on the executors and dealt by hash into blocks of about ``block_windows``.  The driver fetches one block at a time
+and broadcasts it.  A benchmark of one block is matched in one pass without any shuffle of the texts; a larger one in as
+many passes, each over a table written by the one before.  Window hashes only nominate; each hit is verified word by word.
+
+Defined cases: null and empty texts have no words, no hits and are not contaminated; items without words are skipped, and
+so is an item's id where it is null; rows with the same doc_id or item_id are judged row by row and as one item; item ids
+may be of any type; other columns are carried untouched, and where one has the name of a new column the new one gets an
+underscore (``names``).
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ class WindowSet:
         self.by_length: dict[int, tuple[np.ndarray, dict]] = {}
         by = defaultdict(dict)
         for w, items in windows.items():
-            by[len(w)][tuple(self.ids[x] for x in w)] = sorted(set(items))
+            by[len(w)][tuple(self.ids[x] for x in w)] = sorted(set(items), key=str)
         for n, found in by.items():
             rows = np.array(list(found), np.uint64).reshape(len(found), n)
             h = np.array([common.rolling(r + np.uint64(1), n)[0] for r in rows], np.uint64)
@@ -64,17 +66,39 @@ class WindowSet:
         return hit, items
 
 
-def benchmark_blocks(benchmark: DataFrame, n: int, block_windows: int, item: str, text: str) -> list[dict]:
-    """The distinct windows with their items, split in blocks.  Each block's size is bounded; an item is read once."""
-    blocks: list[dict] = [{}]
-    for row in benchmark.select(item, text).toLocalIterator():  # one partition at a time on the driver
-        w = common.words(row[1].encode() if row[1] else None)
-        for i in range(max(1, len(w) - n + 1) if w else 0):
-            window = tuple(w[i : i + n])
-            if window not in blocks[-1] and len(blocks[-1]) >= block_windows:
-                blocks.append({})
-            blocks[-1].setdefault(window, []).append(row[0])
-    return blocks
+def _windows(n: int):
+    def run(batches):
+        for batch in batches:
+            items, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            found = []
+            for item, t in zip(items, texts):
+                w = common.words(t.encode() if t else None)
+                found += [(item, b" ".join(w[i : i + n])) for i in range(max(1, len(w) - n + 1) if w else 0)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], batch.schema.field(0).type), pa.array([x[1] for x in found], pa.binary())], ["item", "window"])
+
+    return run
+
+
+def benchmark_windows(benchmark: DataFrame, n: int, block_windows: int, item: str, text: str) -> tuple[DataFrame, int]:
+    """The distinct windows with each item that holds them (item, window, block), written, and the number of blocks: so many
+    that a block has about ``block_windows`` windows and four times as many rows at the most."""
+    common.small_batches(benchmark.sparkSession)
+    kind = benchmark.schema[item].dataType
+    found = benchmark.select(F.col(item).alias("item"), F.col(text).cast("string").alias("text")).mapInArrow(_windows(n), T.StructType([T.StructField("item", kind), T.StructField("window", T.BinaryType())]))
+    found = common.materialize(found.distinct(), "benchmark-windows")
+    rows, distinct = found.agg(F.count(F.lit(1)), F.count_distinct("window")).first()
+    blocks = max(1, -(-distinct // block_windows), -(-rows // (4 * block_windows)))
+    return found.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks)).cast("int")), blocks
+
+
+def window_block(windows: DataFrame, block: int) -> dict[tuple[bytes, ...], list]:
+    """One block on the driver: window to its items."""
+    out: dict[tuple[bytes, ...], list] = {}
+    for item, window in windows.where(F.col("block") == block).select("item", "window").collect():
+        own = out.setdefault(tuple(bytes(window).split(b" ")), [])
+        if item is not None:
+            own.append(item)
+    return out
 
 
 def _spans(text: bytes, hit: np.ndarray) -> list[tuple[int, int]]:
@@ -90,13 +114,24 @@ def _spans(text: bytes, hit: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _scan(shared, text: str, final: bool, names: dict[str, str]):
+OUT = ("n_words", "n_hit", "items", "spans", "contaminated")
+
+
+def names(docs: DataFrame, prefix: str = "") -> dict[str, str]:
+    """What the new columns are called beside those of ``docs``."""
+    return common.out_names(docs, OUT, prefix)
+
+
+def _scan(shared, text: str, final: bool, state: dict[str, str], carried: list[str], kind: pa.DataType):
+    """Adds the state's columns; a later pass takes the hits and items so far from them."""
+
     def run(batches):
         block: WindowSet = shared.value
         for batch in batches:
-            before = batch.column(batch.schema.get_field_index(names["hits"])).to_pylist() if names["hits"] in batch.schema.names else [None] * len(batch)
-            items_before = batch.column(batch.schema.get_field_index(names["items"])).to_pylist() if names["items"] in batch.schema.names else [None] * len(batch)
-            out = {k: [] for k in ("n_words", "hits", "items", "n_hit", "spans")}
+            col = lambda c: batch.column(batch.schema.get_field_index(c))
+            again = state["hits"] in batch.schema.names
+            before, items_before = (col(state[k]).to_pylist() if again else [None] * len(batch) for k in ("hits", "items"))
+            out = {k: [] for k in state}
             for start, texts in common.chunks(batch, text):
                 for i, t in enumerate(texts, start):
                     found = common.words(t)
@@ -110,41 +145,53 @@ def _scan(shared, text: str, final: bool, names: dict[str, str]):
                     out["n_words"].append(len(found))
                     out["n_hit"].append(int(hit.sum()))
                     out["spans"].append([{"start": a, "end": b} for a, b in _spans(t, hit)] if final and len(edges) else [])
-            kept = [c for c in batch.schema.names if c not in names.values()]
-            arrays = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-            kinds = {"n_words": pa.int64(), "n_hit": pa.int64(), "hits": pa.list_(pa.int64()), "items": pa.list_(pa.int64()), "spans": pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))}
-            yield pa.RecordBatch.from_arrays(arrays + [pa.array(out[k], kinds[k]) for k in names], [*kept, *names.values()])
+            kinds = {"n_words": pa.int64(), "n_hit": pa.int64(), "hits": pa.list_(pa.int64()), "items": pa.list_(kind), "spans": pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))}
+            yield pa.RecordBatch.from_arrays([col(c) for c in carried] + [pa.array(out[k], kinds[k]) for k in state], [*carried, *state.values()])
 
     return run
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, n: int = 13, item: str = "item_id", text: str = "text", every: int = 20, block_windows: int = BLOCK_WINDOWS, prefix: str = "") -> DataFrame:
     """``docs`` with n_words, n_hit (words in an occurrence of a window), items (ids with occurring windows), spans (hit
-    passages in code points) and contaminated (at least one hit, and at least one word in ``every``)."""
+    passages in code points) and contaminated (at least one hit, and at least one word in ``every``), under ``names``."""
     spark = docs.sparkSession
     common.small_batches(spark)
-    names = {k: prefix + k for k in ("n_words", "n_hit", "hits", "items", "spans")}
-    blocks, df = benchmark_blocks(benchmark, n, block_windows, item, text), docs
-    kinds = {"n_words": "bigint", "n_hit": "bigint", "hits": "array<bigint>", "items": "array<bigint>", "spans": "array<struct<start:bigint,end:bigint>>"}
-    schema = T.StructType([f for f in docs.schema.fields if f.name not in names.values()])
-    for k, name in names.items():
-        schema = schema.add(name, T._parse_datatype_string(kinds[k]))
-    for k, block in enumerate(blocks):
-        shared = spark.sparkContext.broadcast(WindowSet(block))
-        df = df.mapInArrow(_scan(shared, text, k == len(blocks) - 1, names), schema)
-        if k < len(blocks) - 1:
-            df = common.materialize(df, "decontaminate")
-    hit, total = F.col(names["n_hit"]), F.col(names["n_words"])
-    return df.drop(names["hits"]).withColumn(prefix + "contaminated", (hit > 0) & (every * hit >= total))
+    own = names(docs, prefix)
+    state = {k: own[k] for k in OUT[:4]} | {"hits": common.free_name(docs, "_hit_edges")}
+    kind = benchmark.schema[item].dataType
+    windows, blocks = benchmark_windows(benchmark, n, block_windows, item, text)
+    schema = T.StructType(list(docs.schema.fields))
+    for k, t in {"n_words": "bigint", "n_hit": "bigint", "items": None, "spans": "array<struct<start:bigint,end:bigint>>", "hits": "array<bigint>"}.items():
+        schema = schema.add(state[k], T.ArrayType(kind) if t is None else T._parse_datatype_string(t))
+    df = docs
+    for k in range(blocks):
+        shared = spark.sparkContext.broadcast(WindowSet(window_block(windows, k)))
+        after = df.mapInArrow(_scan(shared, text, k == blocks - 1, state, docs.columns, common.arrow_type(kind)), schema)
+        if k < blocks - 1:
+            after = common.materialize(after, "decontaminate")
+            shared.unpersist()
+            if k:
+                common.discard(df)  # the pass before the last one's
+        df = after
+    hit, total = F.col(own["n_hit"]), F.col(own["n_words"])
+    return df.drop(state["hits"]).withColumn(own["contaminated"], (hit > 0) & (every * hit >= total))
+
+
+#: With more cuts than this a text is taken apart into characters once, which a very long text of many cuts needs.
+FEW_CUTS = 16
 
 
 def remove_spans(df: DataFrame, spans: str = "spans", text: str = "text", mark: str = "") -> DataFrame:
-    """Cuts the spans (sorted, disjoint, in code points) out of the texts."""
+    """Cuts the spans (sorted, disjoint, in code points) out of the texts; ``mark`` stands for each."""
     s = F.col(spans)
     starts = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(s, lambda x: x["end"]))
     ends = F.concat(F.transform(s, lambda x: x["start"]), F.array(F.length(text).cast("bigint")))
-    pieces = F.transform(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda x: F.substring(F.col(text), (x["a"] + 1).cast("int"), (x["b"] - x["a"]).cast("int")))
-    return df.withColumn(text, F.when(F.size(s) > 0, F.array_join(pieces, mark)).otherwise(F.col(text)))
+    pieces = F.arrays_zip(starts.alias("a"), ends.alias("b"))
+    few = F.transform(pieces, lambda x: F.substring(F.col(text), (x["a"] + 1).cast("int"), (x["b"] - x["a"]).cast("int")))
+    cut = lambda c: F.transform(pieces, lambda x: F.array_join(F.slice(c, (x["a"] + 1).cast("int"), (x["b"] - x["a"]).cast("int")), ""))
+    many = F.element_at(F.transform(F.array(F.split(F.col(text), "")), cut), 1)
+    joined = F.when(F.size(s) <= FEW_CUTS, F.array_join(few, mark)).otherwise(F.array_join(many, mark))
+    return df.withColumn(text, F.when(F.size(s) > 0, joined).otherwise(F.col(text)))
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,8 +206,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go; of the others nothing is cut."""
-    found = decontaminate(docs, common.table(spark, sf_dir, "benchmark"), prefix="_dc_")
-    return found.where(~F.col("_dc_contaminated")).select(docs.columns)
+    found = decontaminate(docs, common.table(spark, sf_dir, "benchmark"))
+    return found.where(~F.col(names(docs)["contaminated"])).select(docs.columns)
 
 
 SQL = r"""

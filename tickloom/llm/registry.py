@@ -20,6 +20,9 @@ def queries():
         "op9_suffix_array_dedup": suffix.op9,
         "op10_mix_sources": mix.op10,
         "pipeline": corpus_pipeline.run,
+        # the parts of op6 and op8 that SQL can express
+        "base_spans_of_personal_data": pii.base_query,
+        "base_spans_of_secrets": secrets.base_query,
     }
 
 
@@ -29,4 +32,6 @@ def oracle_sql():
         "op4_warc_archive": warc.SQL,
         "op5_embedding_range_join": vectors.SQL,
         "op10_mix_sources": mix.SQL,
+        "base_spans_of_personal_data": pii.SQL,
+        "base_spans_of_secrets": secrets.SQL,
     }

@@ -4,19 +4,25 @@ Each byte covered by a ``LENGTH``-byte string that starts earlier too (in an ear
 
 1. Documents are packed into blocks.  Winnowing picks anchors: of any ``LENGTH`` bytes at least one anchor's ``GRAM``
    bytes, so that equal strings share an anchor's hash.  An anchor's *region* is all that such strings around it can
-   cover.  Anchors, with a hash of the region, are dealt by hash to shards.
+   cover; a strong 128-bit digest stands for its bytes.  Of a block's equal regions only the first is dealt, by the anchor's
+   hash, to shards; the others are repeats as a whole already.
 2. A shard keeps the anchors that occur more than once.  Regions equal to an earlier one are repeats as a whole.  Where
-   the regions of an anchor differ, the first of each kind goes on, with its bytes.
+   the regions of an anchor differ, the first of each kind goes on, with its bytes; an anchor of more than ``HOT`` bytes of
+   them is cut into parts, which go to different shards.
 3. These regions form the shards of the suffix arrays: Larsson and Sadakane's refinement, doubling the sorted depth
    and sorting again only groups that are not single yet; common prefixes of neighbours by Kasai's lemma (an entry is
    its left neighbour's less one unless the bytes before differ, so that only the others are compared).  Runs of
    common prefixes of at least ``LENGTH`` are equal strings; all but the earliest are repeats.  A shard over
-   ``CHUNK`` bytes is cut between anchors; one anchor over ``HOT`` bytes gets a suffix array for each part, whose sorted
-   distinct strings are merged by binary search.
-4. The repeats go back to their blocks.
+   ``CHUNK`` bytes is cut between anchors.
+4. Each part of a cut anchor sends on its distinct strings with their earliest places, sorted, dealt by digest into as many
+   slots as there are parts; a slot merges the parts' lists by binary search, and what an earlier place has too is a repeat.
+5. The repeats go back to their blocks.
 
-Defined cases: null and empty texts have no bytes; a null id comes before all others; rows with the same id are
-separate documents in the order of their blocks; nothing matches across documents.
+Anchors, regions and strings travel as rows, so a shard costs a group and not a piece from each block.
+
+Defined cases: null and empty texts have no bytes; ids may be of any type, in the order that Spark gives them, and a null id
+comes before all others; rows with the same id are separate documents in the order of their blocks; nothing matches across
+documents.
 """
 
 from __future__ import annotations
@@ -32,8 +38,8 @@ from . import common
 
 LENGTH, GRAM = 100, 24
 BLOCK = 2_000_000
-#: Text for one shard of anchors; regions for one shard and for one suffix array; parts of one hot anchor.
-SHARD_TEXT, SHARD_REGIONS, CHUNK, HOT = 48_000_000, 6_000_000, 1_500_000, 500_000
+#: Text for one shard of anchors; regions for one shard and for one suffix array; one part of a hot anchor.
+SHARD_TEXT, SHARD_REGIONS, CHUNK, HOT = 8_000_000, 6_000_000, 1_500_000, 500_000
 LEAST_SHARDS = 48
 _NULL = -(1 << 63)
 _TABLE = common.mix(np.arange(1, 257, dtype=np.uint64))
@@ -41,20 +47,24 @@ _BASE = 0x9E3779B97F4A7C15
 
 
 def _blocks(size: int):
+    """(key, order, text) rows to blocks."""
+
     def run(batches):
-        keys, texts, total = [], [], 0
+        keys, order, texts, total = [], [], [], 0
 
         def flush():
-            return pa.RecordBatch.from_arrays([pa.array([keys], pa.list_(pa.int64())), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([zstandard.compress(b"".join(texts), 3)], pa.binary())], ["keys", "sizes", "data"])
+            return pa.RecordBatch.from_arrays([pa.array([keys], pa.list_(kind)), pa.array([order], pa.list_(pa.int64())), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([zstandard.compress(b"".join(texts), 3)], pa.binary())], ["keys", "order", "sizes", "data"])
 
         for batch in batches:
-            ids = batch.column(0).cast(pa.int64()).to_pylist()
+            kind = batch.schema.field(0).type
+            ids, numbers = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for start, found in common.chunks(batch):
                 for i, t in enumerate(found, start):
                     if total and total + len(t or b"") > size:
                         yield flush()
-                        keys, texts, total = [], [], 0
-                    keys.append(_NULL if ids[i] is None else ids[i])
+                        keys, order, texts, total = [], [], [], 0
+                    keys.append(ids[i])
+                    order.append(numbers[i])
                     texts.append(t or b"")
                     total += len(t or b"")
         if keys:
@@ -124,96 +134,98 @@ def region_bounds(at: np.ndarray, sizes: np.ndarray, length: int = LENGTH, gram:
     return np.maximum(at - (length - gram), ends[doc] - sizes[doc]), np.minimum(at + length, ends[doc])
 
 
-def _region_hashes(b: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    inverse = pow(_BASE, -1, 2**64)
-    p = common.powers(len(b) + 1, _BASE)
-    run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(common.mix(_TABLE)[b] * p[:-1], dtype=np.uint64)))
-    return common.mix((run[hi] - run[lo]) * common.powers(len(b) + 1, inverse)[lo] + (hi - lo).astype(np.uint64))
+def _digests(b: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Strong digests of the byte ranges, as two columns of numbers."""
+    raw, strong = memoryview(np.ascontiguousarray(b)), hashlib.blake2b
+    return np.frombuffer(b"".join([strong(raw[s:e], digest_size=16).digest() for s, e in zip(lo.tolist(), hi.tolist())]), np.int64).reshape(-1, 2)
+
+
+def _groups(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row, in sorted order, begins another group."""
+    new = np.ones(len(columns[0]), bool)
+    if len(new):
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return new
+
+
+_ANCHORS = "shard int, h bigint, r1 bigint, r2 bigint, key bigint, block bigint, at int, repeat boolean"
 
 
 def _emit_anchors(shards: int):
+    names = [c.split()[0] for c in _ANCHORS.split(", ")]
+
     def run(batches):
         for batch in batches:
-            for block, keys, sizes, data in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                b, sizes, keys = _unpack(data), np.array(sizes, np.int64), np.array(keys, np.int64)
+            for block, order, sizes, data in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                b, sizes, order = _unpack(data), np.array(sizes, np.int64), np.array(order, np.int64)
                 at, h = anchors(b, sizes)
                 if not len(at):
                     continue
-                region = _region_hashes(b, *region_bounds(at, sizes))
-                doc = np.searchsorted(np.cumsum(sizes), at, "right")
-                shard = (h % np.uint64(shards)).astype(np.int32)
-                order = np.argsort(shard, kind="stable")
-                cut = np.flatnonzero(np.diff(shard[order])) + 1
-                out = []
-                for part in np.split(order, cut):
-                    docs, n = np.unique(doc[part], return_counts=True)
-                    head = np.concatenate((np.diff(keys[docs], prepend=0), n)).astype(np.int64)
-                    out.append((int(shard[part[0]]), block, zstandard.compress(head.tobytes(), 3), np.concatenate((h[part], region[part])).tobytes(), at[part].astype(np.uint32).tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], ["shard", "block", "docs", "hashes", "at"])
+                r = _digests(b, *region_bounds(at, sizes))
+                key, h = order[np.searchsorted(np.cumsum(sizes), at, "right")], h.view(np.int64)
+                by = np.lexsort((at, key, r[:, 1], r[:, 0], h))
+                repeat = np.empty(len(at), bool)
+                repeat[by] = ~_groups(h[by], r[by, 0], r[by, 1])
+                # a repeat only needs to come back to its block: it goes wherever there is room
+                shard = np.where(repeat, common.mix(np.full(len(at), block, np.uint64)), h.view(np.uint64)) % np.uint64(shards)
+                columns = (shard.astype(np.int32), h, r[:, 0], r[:, 1], key, np.full(len(at), block), at.astype(np.int32), repeat)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     return run
 
 
-def _meet(data: pa.Table) -> pa.Table:
-    """Of one shard's anchors: whole repeats (flag 0) and regions to be compared (flag 1), by block."""
-    key, block, h, region, at = [], [], [], [], []
-    for blk, docs, hashes, pos in zip(*(data[c].to_pylist() for c in ("block", "docs", "hashes", "at"))):
-        head = np.frombuffer(zstandard.decompress(docs), np.int64)
-        pair, pos = np.frombuffer(hashes, np.uint64), np.frombuffer(pos, np.uint32)
-        n = len(head) // 2
-        key.append(np.repeat(np.cumsum(head[:n]), head[n:]))
-        block.append(np.full(len(pos), blk, np.int64))
-        h.append(pair[: len(pos)])
-        region.append(pair[len(pos) :])
-        at.append(pos)
-    key, block, h, region, at = (np.concatenate(x) for x in (key, block, h, region, at))
-    order = np.argsort(h, kind="stable")
-    same = h[order[1:]] == h[order[:-1]]
-    often = np.zeros(len(order), bool)
-    often[1:] |= same
-    often[:-1] |= same
-    order = order[often]
-    order = order[np.lexsort((at[order], block[order], key[order], region[order], h[order]))]
-    h, region, block, at = h[order], region[order], block[order], at[order]
-    out = {"block": [], "at": [], "flags": [], "n_regions": []}
-    if len(h):
-        new_h = np.ones(len(h), bool)
-        new_h[1:] = h[1:] != h[:-1]
-        first = new_h.copy()
-        first[1:] |= region[1:] != region[:-1]
+_MET = "block bigint, at int, part int, parts int"
+
+
+def _meet(hot: int):
+    """Of one shard's anchors: whole repeats (part -1) and regions to be compared, by block."""
+
+    def run(data: pa.Table) -> pa.Table:
+        h, r1, r2, key, block, at, repeat = (data[c].to_numpy(zero_copy_only=False) if c == "repeat" else data[c].to_numpy() for c in ("h", "r1", "r2", "key", "block", "at", "repeat"))
+        gone = np.flatnonzero(repeat)
+        left = np.flatnonzero(~repeat)
+        left = left[np.argsort(h[left], kind="stable")]
+        edge = _groups(h[left])
+        size = np.bincount(np.cumsum(edge) - 1, minlength=1)
+        left = left[size[np.cumsum(edge) - 1] > 1] if len(left) else left
+        left = left[np.lexsort((at[left], block[left], key[left], r2[left], r1[left], h[left]))]
+        new_h, first = _groups(h[left]), _groups(h[left], r1[left], r2[left])
         group = np.cumsum(new_h) - 1
-        differ = np.bincount(group, first)[group] > 1
-        keep = ~first | differ
-        flag, block, at = (first & differ)[keep].astype(np.uint8), block[keep], at[keep]
-        by = np.lexsort((at, block))
-        flag, block, at = flag[by], block[by], at[by]
-        for part in np.split(np.arange(len(by)), np.flatnonzero(np.diff(block)) + 1) if len(by) else []:
-            out["block"].append(int(block[part[0]]))
-            out["at"].append(at[part].tobytes())
-            out["flags"].append(flag[part].tobytes())
-            out["n_regions"].append(int(flag[part].sum()))
-    return pa.table([pa.array(out["block"], pa.int64()), pa.array(out["at"], pa.binary()), pa.array(out["flags"], pa.binary()), pa.array(out["n_regions"], pa.int64())], ["block", "at", "flags", "n_regions"])
+        kinds = np.bincount(group, first, minlength=1).astype(np.int64)[group] if len(left) else np.empty(0, np.int64)
+        # the regions of a hot anchor are dealt into parts, in their order
+        each = max(1, hot // (2 * LENGTH))
+        number = np.cumsum(first) - 1
+        number = number - np.maximum.accumulate(np.where(new_h, number, 0)) if len(left) else number
+        parts = -(-kinds // each)
+        open_ = first & (kinds > 1)
+        keep = ~first | open_
+        out_block = np.concatenate((block[gone], block[left][keep]))
+        out_at = np.concatenate((at[gone], at[left][keep]))
+        part = np.concatenate((np.full(len(gone), -1), np.where(open_, number // each, -1)[keep]))
+        return pa.table([pa.array(out_block, pa.int64()), pa.array(out_at, pa.int32()), pa.array(part, pa.int32()), pa.array(np.concatenate((np.ones(len(gone), np.int64), parts[keep])), pa.int32())], [c.split()[0] for c in _MET.split(", ")])
+
+    return run
+
+
+_REGIONS = "shard int, h bigint, part int, parts int, key bigint, block bigint, place bigint, data binary"
 
 
 def _emit_regions(shards: int):
+    names = [c.split()[0] for c in _REGIONS.split(", ")]
+
     def run(batches):
         for batch in batches:
-            for block, keys, sizes, data, ats, flags in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                at = np.concatenate([np.frombuffer(x, np.uint32) for x in ats]).astype(np.int64)
-                at = np.unique(at[np.concatenate([np.frombuffer(x, np.uint8) for x in flags]) == 1])
-                if not len(at):
-                    continue
-                b, sizes, keys = _unpack(data), np.array(sizes, np.int64), np.array(keys, np.int64)
+            for block, order, sizes, data, marks in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                at = np.array([m["at"] for m in marks], np.int64)
+                part, parts = (np.array([m[c] for m in marks], np.int64) for c in ("part", "parts"))
+                b, sizes, order = _unpack(data), np.array(sizes, np.int64), np.array(order, np.int64)
                 lo, hi = region_bounds(at, sizes)
                 h = gram_hashes(b, GRAM)[at]
-                key = keys[np.searchsorted(np.cumsum(sizes), at, "right")]
-                shard = (common.mix(h) % np.uint64(shards)).astype(np.int32)
-                order = np.argsort(shard, kind="stable")
-                out = []
-                for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-                    head = np.concatenate((h[part].view(np.int64), key[part], lo[part], hi[part] - lo[part]))
-                    out.append((int(shard[part[0]]), block, zstandard.compress(head.astype(np.int64).tobytes() + b"".join(b[s:e].tobytes() for s, e in zip(lo[part], hi[part])), 1), len(part)))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.binary(), pa.int64()))], ["shard", "block", "regions", "n"])
+                key = order[np.searchsorted(np.cumsum(sizes), at, "right")]
+                shard = (common.mix(h + part.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)) % np.uint64(shards)).astype(np.int32)
+                raw = b.tobytes()
+                columns = (shard, h.view(np.int64), part.astype(np.int32), parts.astype(np.int32), key, np.full(len(at), block), lo)
+                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), pa.array([raw[s:e] for s, e in zip(lo.tolist(), hi.tolist())], pa.binary())], names)
 
     return run
 
@@ -369,44 +381,29 @@ def repeats(regions: list[bytes], rank: np.ndarray, base: np.ndarray, length: in
     return region, place, group, first[np.append(True, np.diff(group[first]) > 0)] if len(first) else first
 
 
-def repeated(regions: list[bytes], rank: np.ndarray, base: np.ndarray, length: int = LENGTH, hot: int = HOT) -> tuple[np.ndarray, np.ndarray]:
-    """(region, place) of each string that a smaller (rank, place) has too; over ``hot`` bytes in parts that are merged."""
-    cuts, total = [0], 0
-    for i, r in enumerate(regions):
-        if total and total + len(r) > hot:
-            cuts.append(i)
-            total = 0
-        total += len(r)
-    cuts.append(len(regions))
-    parts = []
-    for a, b in zip(cuts, cuts[1:]):
-        region, place, group, first = repeats(regions[a:b], rank[a:b], base[a:b], length, len(cuts) > 2)
-        parts.append((region + a, place, group, first))
-    if len(parts) == 1:
-        region, place, group, first = parts[0]
-        top = first[group]
-        later = (rank[region] != rank[region[top]]) | (place != place[top])
-        return region[later], place[later]
-    merged, best, strings = np.empty(0, f"S{length}"), np.empty((0, 2), np.int64), []
-    for region, place, group, first in parts:
-        where = (place - base[region])[first]
-        own = np.array([regions[i][o : o + length] for i, o in zip(region[first].tolist(), where.tolist())], f"S{length}")
-        mine = np.column_stack((rank[region[first]], place[first])) if len(first) else np.empty((0, 2), np.int64)
-        strings.append(own)
+def merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """``parts``: (sorted distinct strings, ages) each.  For each part, which of its strings has a smaller age elsewhere.
+
+    One part after the other is looked up in the merged list by binary search; ages are rows of numbers, compared in order.
+    """
+    merged, best = parts[0][0][:0], parts[0][1][:0]
+    for own, age in parts:
         at = np.searchsorted(merged, own)
         known = np.zeros(len(own), bool)
         inside = at < len(merged)
         known[inside] = merged[at[inside]] == own[inside]
-        old, new = best[at[known]], mine[known]
-        less = (new[:, 0] < old[:, 0]) | ((new[:, 0] == old[:, 0]) & (new[:, 1] < old[:, 1]))
-        best[at[known]] = np.where(less[:, None], new, old)
-        merged, best = np.insert(merged, at[~known], own[~known]), np.insert(best, at[~known], mine[~known], axis=0)
-    found = []
-    for (region, place, group, _), own in zip(parts, strings):
-        top = best[np.searchsorted(merged, own)][group] if len(own) else np.empty((0, 2), np.int64)
-        later = (rank[region] != top[:, 0]) | (place != top[:, 1])
-        found.append((region[later], place[later]))
-    return tuple(np.concatenate(x) for x in zip(*found))
+        best[at[known]] = np.where(_older(age[known], best[at[known]])[:, None], age[known], best[at[known]])
+        merged, best = np.insert(merged, at[~known], own[~known]), np.insert(best, at[~known], age[~known], axis=0)
+    return [(best[np.searchsorted(merged, own)] != age).any(axis=1) for own, age in parts]
+
+
+def _older(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether a row of ``a`` comes before that of ``b``, by the first column that differs."""
+    out, same = np.zeros(len(a), bool), np.ones(len(a), bool)
+    for k in range(a.shape[1]):
+        out |= same & (a[:, k] < b[:, k])
+        same &= a[:, k] == b[:, k]
+    return out
 
 
 def _spans(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -419,100 +416,143 @@ def _spans(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lo[at], hi[np.append(at[1:] - 1, len(hi) - 1)] if len(at) else hi[:0]
 
 
+_FOUND = "block bigint, place bigint, until bigint, anchor bigint, slot int, part int, key bigint, string binary"
+
+
+def _table(block, place, until, anchor=None, slot=None, part=None, key=None, string=None) -> pa.Table:
+    columns = (block, place, until, anchor, slot, part, key)
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
+    n = len(block)
+    arrays = [pa.nulls(n, t) if c is None else pa.array(c, t) for c, t in zip(columns, kinds)]
+    return pa.table([*arrays, pa.nulls(n, pa.binary()) if string is None else pa.array(string, pa.binary())], [c.split()[0] for c in _FOUND.split(", ")])
+
+
+def _united(block: np.ndarray, lo: np.ndarray) -> pa.Table:
+    """The union of [lo, lo + LENGTH) in each block."""
+    by, blocks, starts, ends = np.argsort(block, kind="stable"), [], [], []
+    block, lo = block[by], lo[by]
+    for part in np.split(np.arange(len(by)), np.flatnonzero(np.diff(block)) + 1) if len(by) else []:
+        a, b = _spans(lo[part], lo[part] + LENGTH)
+        blocks.append(np.full(len(a), block[part[0]]))
+        starts.append(a)
+        ends.append(b)
+    flat = lambda x: np.concatenate([np.empty(0, np.int64), *x])
+    return _table(flat(blocks), flat(starts), flat(ends))
+
+
 def _compare(data: pa.Table) -> pa.Table:
-    """The repeats in one shard's regions: (block, spans as pairs of positions)."""
-    h, key, block, pos, regions = [], [], [], [], []
-    for blk, raw, n in zip(*(data[c].to_pylist() for c in ("block", "regions", "n"))):
-        raw = zstandard.decompress(raw)
-        head = np.frombuffer(raw[: 32 * n], np.int64).reshape(4, n)
-        at = 32 * n + np.concatenate(([0], np.cumsum(head[3])))
-        h.append(head[0])
-        key.append(head[1])
-        pos.append(head[2])
-        block.append(np.full(n, blk, np.int64))
-        regions += [raw[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-    h, key, block, pos = (np.concatenate(x) for x in (h, key, block, pos))
-    order = np.lexsort((pos, block, key, h))
+    """The repeats in one shard's regions, as spans; of a part of a cut anchor also its distinct strings."""
+    h, part, parts, key, block, pos = (data[c].to_numpy() for c in ("h", "part", "parts", "key", "block", "place"))
+    texts = data["data"].cast(pa.large_binary()).combine_chunks()
+    size = pa.compute.binary_length(texts).to_numpy()
+    order = np.lexsort((pos, block, key, part, h))
     by = np.lexsort((block, key))
     rank = np.empty(len(h), np.int64)
-    rank[by] = np.cumsum(np.append(False, (key[by][1:] != key[by][:-1]) | (block[by][1:] != block[by][:-1])))
-    size = np.array([len(r) for r in regions], np.int64)
-    # anchors stay whole; a chunk ends with the anchor that fills it
-    edge = np.ones(len(order), bool)
-    edge[1:] = h[order[1:]] != h[order[:-1]]
-    starts = np.append(np.flatnonzero(edge), len(order))
+    rank[by] = np.cumsum(_groups(key[by], block[by])) - 1
+    # anchors and parts stay whole; a chunk ends with the anchor that fills it
+    starts = np.append(np.flatnonzero(_groups(h[order], part[order])), len(order))
     run = np.concatenate(([0], np.cumsum(size[order])))
-    lo, hi, of = [], [], []
+    lo, of, sent = [], [], []
     i = 0
     while i < len(starts) - 1:
-        j = max(i + 1, int(np.searchsorted(run[starts], run[starts[i]] + CHUNK, "right")) - 1)
-        part = order[starts[i] : starts[j]]
-        if len(part) > 1:
-            one = j == i + 1
-            region, place = repeated([regions[x] for x in part.tolist()], rank[part], pos[part], hot=HOT if one else 2 * CHUNK)
-            lo.append(place)
-            of.append(block[part[region]])
+        cut = parts[order[starts[i]]] > 1
+        j = i + 1 if cut else max(i + 1, int(np.searchsorted(run[starts], run[starts[i]] + CHUNK, "right")) - 1)
+        if not cut:  # up to the next part of a cut anchor
+            ahead = np.flatnonzero(parts[order[starts[i:j]]] > 1)
+            j = i + int(ahead[0]) if len(ahead) else j
+        own = order[starts[i] : starts[j]]
+        if len(own) > 1 or cut:
+            regions = texts.take(pa.array(own)).to_pylist()
+            region, place, group, first = repeats(regions, rank[own], pos[own], LENGTH, cut)
+            top = first[group] if len(group) else first
+            later = (rank[own][region] != rank[own][region[top]]) | (place != place[top])
+            lo.append(place[later])
+            of.append(block[own[region[later]]])
+            if cut and len(first):
+                where = (place - pos[own][region])[first].tolist()
+                strings = [hashlib.blake2b(regions[r][o : o + LENGTH], digest_size=16).digest() for r, o in zip(region[first].tolist(), where)]
+                n, one = len(strings), own[0]
+                slot = np.frombuffer(b"".join(s[:4] for s in strings), ">u4").astype(np.int64) * int(parts[one]) >> 32
+                src = own[region[first]]
+                sent.append(_table(block[src], place[first], place[first] + LENGTH, np.full(n, h[one]), slot.astype(np.int32), np.full(n, part[one]), key[src], strings))
         i = j
-    out = {"block": [], "spans": []}
-    if lo:
-        lo, of = np.concatenate(lo), np.concatenate(of)
-        by = np.argsort(of, kind="stable")
-        lo, of = lo[by], of[by]
-        for part in np.split(np.arange(len(by)), np.flatnonzero(np.diff(of)) + 1) if len(by) else []:
-            a, b = _spans(lo[part], lo[part] + LENGTH)
-            out["block"].append(int(of[part[0]]))
-            out["spans"].append(np.column_stack((a, b)).astype(np.uint32).tobytes())
-    return pa.table([pa.array(out["block"], pa.int64()), pa.array(out["spans"], pa.binary())], ["block", "spans"])
-
-
-def _finish(batches):
-    for batch in batches:
-        out = {k: [] for k in ("key", "n_bytes", "spans", "kept")}
-        for keys, sizes, data, ats, flags, spans in zip(*(batch.column(i).to_pylist() for i in range(6))):
-            b, sizes = _unpack(data), np.array(sizes, np.int64)
-            gone = np.zeros(len(b) + 1, np.int32)
-            if ats:
-                at = np.concatenate([np.frombuffer(x, np.uint32) for x in ats]).astype(np.int64)
-                lo, hi = region_bounds(at[np.concatenate([np.frombuffer(x, np.uint8) for x in flags]) == 0], sizes)
-                np.add.at(gone, lo, 1)
-                np.add.at(gone, hi, -1)
-            for x in spans or ():
-                pair = np.frombuffer(x, np.uint32).reshape(-1, 2).astype(np.int64)
-                np.add.at(gone, pair[:, 0], 1)
-                np.add.at(gone, pair[:, 1], -1)
-            removed = np.cumsum(gone[:-1]) > 0
-            ends = np.cumsum(sizes)
-            for key, a, e in zip(keys, (ends - sizes).tolist(), ends.tolist()):
-                r = removed[a:e]
-                edges = np.flatnonzero(np.diff(np.concatenate(([0], r.view(np.int8), [0]))))
-                out["key"].append(None if key == _NULL else key)
-                out["n_bytes"].append(e - a)
-                out["spans"].append([{"start": x, "end": y} for x, y in edges.reshape(-1, 2).tolist()])
-                out["kept"].append((b[a:e][~r] if len(edges) else b[a:e]).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(out["key"], pa.int64()), pa.array(out["n_bytes"], pa.int64()), pa.array(out["spans"], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(out["kept"], pa.binary())], list(out))
-
-
-def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
+    flat = lambda x: np.concatenate([np.empty(0, np.int64), *x])
+    return pa.concat_tables([_united(flat(of), flat(lo)), *sent])
+
+
+def _merge_slot(data: pa.Table) -> pa.Table:
+    """The repeats among the distinct strings that the parts of one anchor have in one slot."""
+    part, key, block, place = (data[c].to_numpy() for c in ("part", "key", "block", "place"))
+    strings = np.array(data["string"].to_pylist(), "S16")
+    order = np.lexsort((strings, part))
+    pieces = np.split(order, np.flatnonzero(np.diff(part[order])) + 1)
+    later = merge([(strings[p], np.column_stack((key[p], block[p], place[p]))) for p in pieces])
+    gone = np.concatenate([p[x] for p, x in zip(pieces, later)])
+    return _united(block[gone], place[gone])
+
+
+def _finish(kind: pa.DataType):
+    def run(batches):
+        for batch in batches:
+            out = {k: [] for k in ("key", "n_bytes", "spans", "kept")}
+            for keys, sizes, data, ats, spans in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                b, sizes = _unpack(data), np.array(sizes, np.int64)
+                gone = np.zeros(len(b) + 1, np.int32)
+                if ats:
+                    lo, hi = region_bounds(np.array(ats, np.int64), sizes)
+                    np.add.at(gone, lo, 1)
+                    np.add.at(gone, hi, -1)
+                if spans:
+                    np.add.at(gone, [x["place"] for x in spans], 1)
+                    np.add.at(gone, [x["until"] for x in spans], -1)
+                removed = np.cumsum(gone[:-1]) > 0
+                ends = np.cumsum(sizes)
+                for key, a, e in zip(keys, (ends - sizes).tolist(), ends.tolist()):
+                    r = removed[a:e]
+                    edges = np.flatnonzero(np.diff(np.concatenate(([0], r.view(np.int8), [0]))))
+                    out["key"].append(key)
+                    out["n_bytes"].append(e - a)
+                    out["spans"].append([{"start": x, "end": y} for x, y in edges.reshape(-1, 2).tolist()])
+                    out["kept"].append((b[a:e][~r] if len(edges) else b[a:e]).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(out["key"], kind), pa.array(out["n_bytes"], pa.int64()), pa.array(out["spans"], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(out["kept"], pa.binary())], list(out))
+
+    return run
+
+
+def _ordered(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, order, text): whole numbers are their own order; other ids are numbered over ranges of them."""
+    kind = docs.schema[key].dataType
+    chosen = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    if isinstance(kind, T.IntegralType):
+        return chosen.select("key", F.coalesce(F.col("key").cast("bigint"), F.lit(_NULL)).alias("order"), "text")
+    ids = common.numbered(chosen.select("key").where("key IS NOT NULL").distinct(), "key", "order")
+    return chosen.join(ids, "key", "left").select("key", F.coalesce("order", F.lit(_NULL)).alias("order"), "text")
+
+
+def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", block: int = BLOCK, hot: int = HOT) -> DataFrame:
     """One row for each of ``docs``: key, n_bytes, spans (removed byte runs), kept (the bytes that stay)."""
     spark = docs.sparkSession
     common.small_batches(spark, 8 << 20)
-    chosen = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    blocks = common.materialize(chosen.mapInArrow(_blocks(block), "keys array<bigint>, sizes array<bigint>, data binary").withColumn("block", F.monotonically_increasing_id()), "suffix-blocks")
+    kind = docs.schema[key].dataType
+    name, arrow = kind.simpleString(), common.arrow_type(kind)
+    blocks = _ordered(docs, key, text).mapInArrow(_blocks(block), f"keys array<{name}>, order array<bigint>, sizes array<bigint>, data binary").withColumn("block", F.monotonically_increasing_id())
+    blocks = common.materialize(blocks, "suffix-blocks")
     total = blocks.select(F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, x: a + x))).first()[0] or 0
     shards = max(LEAST_SHARDS, -(-total // SHARD_TEXT))
-    found = blocks.select("block", "keys", "sizes", "data").mapInArrow(_emit_anchors(shards), "shard int, block bigint, docs binary, hashes binary, at binary")
-    met = common.materialize(found.groupBy("shard").applyInArrow(_meet, "block bigint, at binary, flags binary, n_regions bigint"), "suffix-met")
+    found = blocks.select("block", "order", "sizes", "data").mapInArrow(_emit_anchors(shards), _ANCHORS)
+    met = common.materialize(found.groupBy("shard").applyInArrow(_meet(hot), _MET), "suffix-met")
     common.tidy(spark)
-    regions = met.select(F.sum("n_regions")).first()[0] or 0
-    marks = met.groupBy("block").agg(F.collect_list("at").alias("ats"), F.collect_list("flags").alias("flags"))
-    open_ = met.where("n_regions > 0").groupBy("block").agg(F.collect_list("at").alias("ats"), F.collect_list("flags").alias("flags"))
-    parts = max(LEAST_SHARDS, -(-regions * 2 * LENGTH // SHARD_REGIONS))
-    sent = blocks.join(open_, "block").select("block", "keys", "sizes", "data", "ats", "flags").mapInArrow(_emit_regions(parts), "shard int, block bigint, regions binary, n bigint")
-    pairs = common.materialize(sent.groupBy("shard").applyInArrow(_compare, "block bigint, spans binary"), "suffix-spans")
+    open_ = met.where("part >= 0")
+    shards = max(LEAST_SHARDS, -(-open_.count() * 2 * LENGTH // SHARD_REGIONS))
+    marked = open_.groupBy("block").agg(F.collect_list(F.struct("at", "part", "parts")).alias("marks"))
+    sent = blocks.join(marked, "block").select("block", "order", "sizes", "data", "marks").mapInArrow(_emit_regions(shards), _REGIONS)
+    compared = common.materialize(sent.groupBy("shard").applyInArrow(_compare, _FOUND), "suffix-compared")
     common.tidy(spark)
-    spans = pairs.groupBy("block").agg(F.collect_list("spans").alias("spans"))
-    full = blocks.join(marks, "block", "left").join(spans, "block", "left").select("keys", "sizes", "data", "ats", "flags", "spans")
-    return full.mapInArrow(_finish, "key bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")
+    merged = common.materialize(compared.where("anchor IS NOT NULL").groupBy("anchor", "slot").applyInArrow(_merge_slot, _FOUND), "suffix-merged")
+    ats = met.where("part < 0").groupBy("block").agg(F.collect_list("at").alias("ats"))
+    spans = compared.where("anchor IS NULL").unionByName(merged).groupBy("block").agg(F.collect_list(F.struct("place", "until")).alias("spans"))
+    full = blocks.join(ats, "block", "left").join(spans, "block", "left").select("keys", "sizes", "data", "ats", "spans")
+    return full.mapInArrow(_finish(arrow), f"key {name}, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

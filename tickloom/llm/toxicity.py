@@ -1,6 +1,6 @@
 """Toxicity by a classifier chain.
 
-The chain predicts categories one after the other (``CHAIN``: low quality, then toxic).  Each link is a logistic
+The chain predicts categories one after the other (``CHAIN``: low quality, toxic, and toxic with low quality).  Each link is a logistic
 regression on hashed features of whole texts (which words and word beginnings of five bytes occur, and the classes of
 a few measures of style) and on the log-odds of the categories before it.  It uses the features that set the category
 apart by a chi-squared test in its own training rows.  In training those come from models that did not see the document (out-of-fold); in use
@@ -11,7 +11,8 @@ id: a bounded sample.  Every document is scored, over its whole text.
 
 Defined cases: null and empty texts have no features and get the models' base rates; labels that are null are not
 used; a document labelled more than once counts as bad where any label says so; without any usable label (or with one
-class only) the probability is the constant share of the class; other columns are carried untouched.
+class only) the probability is the constant share of the class; other columns are carried untouched, and a new column whose
+name is taken gets an underscore (``names``).
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from . import common
 
-#: name, column of the labels, the value that means the category holds.
-CHAIN = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
+#: The links in turn: name, the columns of the labels that it needs, and the condition under which the category holds.
+CHAIN = (("low_quality", ("quality",), "quality = 0"), ("toxic", ("toxic",), "toxic = 1"), ("severe", ("quality", "toxic"), "toxic = 1 AND quality = 0"))
+#: The link that says whether a document is toxic.
+DECIDES = "toxic"
 BITS = 18
 #: Bound of the labelled sample, in documents and in all their features; documents stay whole.
 MAX_TRAIN, MAX_FEATURES = 12_000, 40_000_000
@@ -139,12 +142,13 @@ def smallest_hashes(one: DataFrame, key: str, most: int) -> DataFrame:
     return one.where(part <= last).orderBy(F.xxhash64(key), key).limit(most)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, max_train: int):
+def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, max_train: int, chain=CHAIN):
     """(feature rows, labels, folds) of the bounded sample."""
-    usable = labels.where(F.col(key).isNotNull() & F.expr(" AND ".join(f"{c} IS NOT NULL" for _, c, _ in CHAIN)))
-    one = usable.groupBy(key).agg(*(F.max((F.col(c) == v).cast("int")).alias(f"_y{i}") for i, (_, c, v) in enumerate(CHAIN)))
+    needed = sorted({c for _, columns, _ in chain for c in columns})
+    usable = labels.where(F.col(key).isNotNull() & F.expr(" AND ".join(f"{c} IS NOT NULL" for c in needed)))
+    one = usable.groupBy(key).agg(*(F.max(F.expr(condition).cast("int")).alias(f"_y{i}") for i, (_, _, condition) in enumerate(chain)))
     sample = smallest_hashes(one, key, max_train)
-    names = [f"_y{i}" for i in range(len(CHAIN))]
+    names = [f"_y{i}" for i in range(len(chain))]
     chosen = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(sample.withColumnRenamed(key, "_label_key")), F.col("_key") == F.col("_label_key")).select("_key", "_text", *names)
 
     def extract(batches):
@@ -165,36 +169,44 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, max_t
         border = h
     rows = found.where(F.xxhash64("key") <= F.lit(border)).toArrow()
     order = sorted(range(len(rows)), key=lambda i: (xxhash.xxh3_64_intdigest(str(rows["key"][i].as_py()).encode()), i))
+    common.discard(found)
     idx = rows["idx"].combine_chunks() if len(rows) else []
     found = [np.asarray(idx[i].values) for i in order]
     y = np.array([[rows[n][i].as_py() for n in names] for i in order], float).reshape(len(order), len(names))
     return found, y, np.arange(len(order)) % FOLDS
 
 
-def classify(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", max_train: int = MAX_TRAIN, threshold: float = 0.5, prefix: str = "") -> DataFrame:
-    """``docs`` with p_<category> for each link of the chain, and is_toxic (the last one at least ``threshold``)."""
+def names(docs: DataFrame, prefix: str = "", chain=CHAIN) -> dict[str, str]:
+    """What the new columns are called beside those of ``docs``."""
+    return common.out_names(docs, [*(f"p_{n}" for n, _, _ in chain), "is_toxic"], prefix)
+
+
+def classify(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", max_train: int = MAX_TRAIN, threshold: float = 0.5, prefix: str = "", chain=CHAIN, decides: str = DECIDES) -> DataFrame:
+    """``docs`` with p_<category> for each link of the chain, and is_toxic (the one that ``decides`` at least ``threshold``),
+    under ``names``."""
     spark = docs.sparkSession
     common.small_batches(spark)
-    rows, y, folds = training_rows(docs, labels, key, text, max_train)
+    rows, y, folds = training_rows(docs, labels, key, text, max_train, chain)
     shared = spark.sparkContext.broadcast(fit_chain(rows, y, folds))
-    names = [f"{prefix}p_{n}" for n, _, _ in CHAIN]
+    new = names(docs, prefix, chain)
+    columns = [new[f"p_{n}"] for n, _, _ in chain]
 
     def score(batches):
-        features, chain = Features(), shared.value
+        features, links = Features(), shared.value
         for batch in batches:
             out = []
             for _, texts in common.chunks(batch, text):
                 for t in texts:
                     idx, odds = features(t), []
-                    for w, v in chain:
+                    for w, v in links:
                         z = float(w[idx].sum(dtype=np.float64)) + float(np.dot(v[:-1], odds)) + float(v[-1])
                         odds.append(min(max(z, -10.0), 10.0))
                     out.append(odds)
-            p = _sigmoid(np.array(out, float).reshape(len(out), len(chain)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(p[:, k], pa.float64()) for k in range(len(chain)))], [*batch.schema.names, *names])
+            p = _sigmoid(np.array(out, float).reshape(len(out), len(links)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(p[:, k], pa.float64()) for k in range(len(links)))], [*batch.schema.names, *columns])
 
-    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.DoubleType()) for n in names)])
-    return docs.mapInArrow(score, schema).withColumn(f"{prefix}is_toxic", F.col(names[-1]) >= threshold)
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.DoubleType()) for n in columns)])
+    return docs.mapInArrow(score, schema).withColumn(new["is_toxic"], F.col(new[f"p_{decides}"]) >= threshold)
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,5 +216,5 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Toxic documents go."""
-    found = classify(docs, common.table(spark, sf_dir, "labels"), prefix="_tox_")
-    return found.where(~F.col("_tox_is_toxic")).select(docs.columns)
+    found = classify(docs, common.table(spark, sf_dir, "labels"))
+    return found.where(~F.col(names(docs)["is_toxic"])).select(docs.columns)

@@ -5,88 +5,117 @@ the exact header block of every record.  Of the records with equal payloads the
 ``response``; the others are ``revisit`` records that refer to it.  ``read_records`` joins the two back into the
 original record bytes, and ``parse`` reads those.
 
-Payload bytes are never shuffled but for the one row that stores them: digests and ids decide who stores, and the
-stored rows are picked in a second scan.  SHA-256 is verified over every payload read back.
-
-Defined cases: a null or empty payload is zero bytes; rows with the same page id and the same payload are one response
-and otherwise revisits of it (they refer to their own id); a null page id sorts below all others; null urls are written
-as empty; smaller payloads than ``least`` bytes are all responses.
+Digests and ids decide who stores.  A second scan then moves each row's payload once, by digest and id: the row that
+stores a digest is found there, and copies of a hot payload, which have other ids, lie in other tasks.  SHA-256 is verified
+over every payload read back.
+
+Every record has the mandatory fields: type, a record id of its own (a UUID from the digest of id, payload and row), the
+date and the length of its block.  The block of a revisit is empty, and its block digest is that of no bytes; the payload's
+digests stand in fields of their own.
+
+Defined cases: page ids may be of any type and are ordered as Spark orders that; a null or empty payload is zero bytes;
+rows with the same page id and the same payload are one response and otherwise revisits of it (they refer to their own
+id); a null page id sorts below all others, and a revisit of it refers to null; null urls are written as empty; smaller
+payloads than ``least`` bytes are all responses.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+from urllib.parse import unquote_plus
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from . import common
 
-NULL_ID = -(1 << 63)
-_FACTS = "page_id bigint, url string, payload_bytes bigint, sha1 string, sha256 string"
+#: When the records were made, where the caller doesn't say.
+DATE = "2024-01-01T00:00:00Z"
+_NOTHING = f"sha256:{hashlib.sha256(b'').hexdigest()}"
+_FACTS = (("url", T.StringType()), ("payload_bytes", T.LongType()), ("sha1", T.StringType()), ("sha256", T.StringType()))
+
 
+def _digests(keep: bool):
+    """(page_id, url, payload) to facts, and the payload's bytes where ``keep``."""
 
-def _digests(page_id: str, url: str, payload: str, keep: bool):
     def run(batches):
         for batch in batches:
-            col = {k: batch.column(batch.schema.get_field_index(c)) for k, c in (("page_id", page_id), ("url", url), ("payload", payload))}
-            raw = col["payload"].cast(pa.large_binary())
-            body = [x or b"" for x in raw.to_pylist()]
-            out = {
-                "page_id": col["page_id"].cast(pa.int64()), "url": col["url"].cast(pa.string()), "payload_bytes": pa.array([len(x) for x in body], pa.int64()),
-                "sha1": pa.array([base64.b32encode(hashlib.sha1(x).digest()).decode() for x in body], pa.string()), "sha256": pa.array([hashlib.sha256(x).hexdigest() for x in body], pa.string()),
-            }
-            if keep:
-                out["payload"] = pa.array(body, pa.binary())
-            yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
+            body = [x or b"" for x in batch.column(2).cast(pa.large_binary()).to_pylist()]
+            arrays = [
+                batch.column(0), batch.column(1).cast(pa.string()), pa.array([len(x) for x in body], pa.int64()),
+                pa.array([base64.b32encode(hashlib.sha1(x).digest()).decode() for x in body], pa.string()), pa.array([hashlib.sha256(x).hexdigest() for x in body], pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays + ([pa.array(body, pa.binary())] if keep else []), ["page_id", *(n for n, _ in _FACTS)] + ["payload"] * keep)
 
     return run
 
 
-def header(kind: str = "record_type") -> F.Column:
+def _record_id(page_id: str, row: str) -> Column:
+    h = F.md5(F.concat_ws("|", F.coalesce(F.col(page_id).cast("string"), F.lit("")), F.col(page_id).isNull().cast("string"), F.col(row).cast("string"), "sha256"))
+    part = lambda a, n: F.substring(h, a, n)
+    return F.concat(F.lit("<urn:uuid:"), part(1, 8), F.lit("-"), part(9, 4), F.lit("-3"), part(14, 3), F.lit("-a"), part(18, 3), F.lit("-"), part(21, 12), F.lit(">"))
+
+
+def _ident(column: str) -> Column:
+    """A page id as one line of ASCII; null where it is null."""
+    return F.url_encode(F.col(column).cast("string"))
+
+
+def header(kind: str = "record_type", date: str = DATE) -> Column:
     """The header block of a record, from its facts."""
-    ident = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("null")), F.lit(">"))
+    revisit = F.col(kind) == "revisit"
+    line = lambda name, value: F.concat(F.lit(f"{name}: "), value)
     lines = [
         F.lit("WARC/1.1"),
-        F.concat(F.lit("WARC-Type: "), F.col(kind)),
-        F.concat(F.lit("WARC-Record-ID: "), ident("page_id")),
-        F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "%0A")),
-        F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("sha1")),
-        F.concat(F.lit("WARC-Block-Digest: sha256:"), F.col("sha256")),
-        F.when(F.col(kind) == "revisit", F.concat(F.lit("WARC-Refers-To: "), ident("refers_to"))),
-        F.when(F.col(kind) == "revisit", F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
-        F.concat(F.lit("X-Payload-Length: "), F.col("payload_bytes").cast("string")),
+        line("WARC-Type", F.col(kind)),
+        line("WARC-Record-ID", _record_id("page_id", "row")),
+        line("WARC-Date", F.lit(date)),
+        line("WARC-Target-URI", F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "%0A")),
+        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
+        line("WARC-Block-Digest", F.when(revisit, F.lit(_NOTHING)).otherwise(F.concat(F.lit("sha256:"), F.col("sha256")))),
+        F.when(revisit, line("WARC-Refers-To", _record_id("first_id", "first_row"))),
+        F.when(revisit, F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
+        line("X-Payload-Length", F.col("payload_bytes").cast("string")),
+        F.when(F.col("page_id").isNotNull(), line("X-Page-ID", _ident("page_id"))),
+        F.when(revisit & F.col("first_id").isNotNull(), line("X-Refers-To-Page", _ident("first_id"))),
         F.lit("Content-Type: text/html; charset=utf-8"),
-        F.concat(F.lit("Content-Length: "), F.when(F.col(kind) == "revisit", F.lit("0")).otherwise(F.col("payload_bytes").cast("string"))),
+        line("Content-Length", F.when(revisit, F.lit("0")).otherwise(F.col("payload_bytes").cast("string"))),
     ]
     return F.concat(F.concat_ws("\r\n", *lines), F.lit("\r\n\r\n"))
 
 
-def write_archive(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", payload: str = "html", least: int = 0) -> tuple[DataFrame, DataFrame]:
+def write_archive(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", payload: str = "html", least: int = 0, date: str = DATE) -> tuple[DataFrame, DataFrame]:
     """(headers, payloads), both written to the shared folder."""
     spark = pages.sparkSession
     common.small_batches(spark)
-    chosen = pages.select(page_id, url, payload)
-    written = common.materialize(chosen.mapInArrow(_digests(page_id, url, payload, False), _FACTS).withColumn("row", F.monotonically_increasing_id()), "warc-facts")
-    facts = written.withColumn("key", F.struct(F.coalesce("page_id", F.lit(NULL_ID)), "row"))
+    kind = pages.schema[page_id].dataType
+    facts_schema = T.StructType([T.StructField("page_id", kind), *(T.StructField(n, t) for n, t in _FACTS)])
+    chosen = pages.select(F.col(page_id).alias("page_id"), F.col(url).cast("string").alias("url"), F.col(payload).alias("payload"))
+    written = common.materialize(chosen.mapInArrow(_digests(False), facts_schema).withColumn("row", F.monotonically_increasing_id()), "warc-facts")
     large = F.col("payload_bytes") >= least
-    first = facts.where(large).groupBy("sha256").agg(F.max("key").alias("first"))
-    first = common.materialize(first.select(F.col("sha256").alias("sha"), F.col("first.row").alias("first_row"), F.col("first.col1").alias("first_id")), "warc-first")
-    known = facts.join(first, large & (F.col("sha256") == F.col("sha")), "left")
-    repeat = large & (F.col("row") != F.col("first_row"))
-    known = known.withColumn("record_type", F.when(repeat, "revisit").otherwise("response"))
-    known = known.withColumn("refers_to", F.when(repeat & (F.col("first_id") != NULL_ID), F.col("first_id")))
-    headers = common.materialize(known.select("page_id", "sha256", "record_type", F.encode(header(), "utf-8").alias("header")), "warc-headers")
+    best = F.struct(F.col("page_id").isNotNull().alias("known"), F.col("page_id").alias("id"), F.col("row").alias("row"))
+    first = written.where(large).groupBy("sha256").agg(F.max(best).alias("first"), F.count(F.lit(1)).alias("n"))
+    first = common.materialize(first.select("sha256", F.col("first.id").alias("first_id"), F.col("first.row").alias("first_row"), "n"), "warc-first")
+    total = written.count()
+    # a digest with a third of all rows meets its first row by broadcast
+    known = common.join_hot(written.where(large), first, "sha256", "n", total)
+    if least > 0:
+        known = known.unionByName(written.where(~large).withColumns({"first_id": F.col("page_id"), "first_row": F.col("row"), "n": F.lit(1).cast("bigint")}))
+    known = known.withColumn("record_type", F.when(F.col("row") != F.col("first_row"), "revisit").otherwise("response"))
+    headers = common.materialize(known.select("page_id", "sha256", "record_type", F.encode(header(date=date), "utf-8").alias("header")), "warc-headers")
     common.discard(written)
     # the payload of a response, from whichever of its rows; of rows with one id and one payload, once
-    again = chosen.mapInArrow(_digests(page_id, url, payload, True), _FACTS + ", payload binary").withColumn("first_id", F.coalesce("page_id", F.lit(NULL_ID)))
-    pick = first.select(F.col("sha").alias("sha256"), "first_id")
+    again = chosen.mapInArrow(_digests(True), facts_schema.add("payload", T.BinaryType()))
+    id_ = lambda c: F.struct(F.col(c).isNull().alias("none"), F.col(c).alias("id"))
+    pick = first.select("sha256", id_("first_id").alias("own"))
     # the join has dealt the rows by both keys already, so that the second step moves nothing
-    stored = again.where(large).join(pick, ["sha256", "first_id"], "left_semi").dropDuplicates(["sha256", "first_id"]).select("sha256", "payload")
+    stored = again.where(large).withColumn("own", id_("page_id"))
+    stored = stored.join(pick, (stored["sha256"] == pick["sha256"]) & stored["own"].eqNullSafe(pick["own"]), "left_semi").dropDuplicates(["sha256", "own"]).select("sha256", "payload")
     if least > 0:
         stored = stored.unionByName(again.where(~large).dropDuplicates(["sha256"]).select("sha256", "payload"))
     payloads = common.materialize(stored, "warc-payloads")
+    common.discard(first)
     return headers, payloads
 
 
@@ -100,31 +129,28 @@ def read_records(headers: DataFrame, payloads: DataFrame) -> DataFrame:
     return both.select(F.concat("header", "payload", end).alias("record"))
 
 
-def _number(text: str):
-    return None if text == "null" else int(text)
-
-
 def parse_record(record: bytes) -> dict:
     """Reads one record and verifies its digests; raises ValueError where they don't hold."""
     head, _, rest = record.partition(b"\r\n\r\n")
     lines = head.decode().split("\r\n")
     field = dict(x.split(": ", 1) for x in lines[1:])
-    payload = rest[: int(field["Content-Length"])]
-    if lines[0] != "WARC/1.1" or rest[len(payload) :] != b"\r\n\r\n":
+    block = rest[: int(field["Content-Length"])]
+    if lines[0] != "WARC/1.1" or rest[len(block) :] != b"\r\n\r\n" or not {"WARC-Record-ID", "WARC-Date", "WARC-Type"} <= set(field):
         raise ValueError("not a whole WARC record")
     kind, sha1 = field["WARC-Type"], field["WARC-Payload-Digest"].removeprefix("sha1:")
-    if kind == "response" and (base64.b32encode(hashlib.sha1(payload).digest()).decode() != sha1 or hashlib.sha256(payload).hexdigest() != field["WARC-Block-Digest"].removeprefix("sha256:")):
-        raise ValueError("payload and digest differ")
-    ident = lambda name: _number(field[name].removeprefix("<urn:page:").removesuffix(">"))
+    if f"sha256:{hashlib.sha256(block).hexdigest()}" != field["WARC-Block-Digest"] or kind == "response" and base64.b32encode(hashlib.sha1(block).digest()).decode() != sha1:
+        raise ValueError("block and digest differ")
+    ident = lambda name: unquote_plus(field[name]) if name in field else None
     return {
-        "page_id": ident("WARC-Record-ID"), "url": field["WARC-Target-URI"], "payload": payload if kind == "response" else None, "payload_bytes": len(payload) if kind == "response" else int(field["X-Payload-Length"]),
-        "payload_digest": sha1, "record_type": kind, "refers_to": ident("WARC-Refers-To") if kind == "revisit" else None,
+        "page_id": ident("X-Page-ID"), "url": field["WARC-Target-URI"], "payload": block if kind == "response" else None, "payload_bytes": int(field["X-Payload-Length"]),
+        "payload_digest": sha1, "record_type": kind, "refers_to": ident("X-Refers-To-Page") if kind == "revisit" else None, "record_id": field["WARC-Record-ID"], "refers_to_record": field.get("WARC-Refers-To"),
     }
 
 
-def parse(records: DataFrame, payload: bool = True) -> DataFrame:
-    """page_id, url, payload (null in a revisit), payload_bytes, payload_digest, record_type, refers_to."""
-    fields = [("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())] + [("payload", pa.binary())] * payload
+def parse(records: DataFrame, payload: bool = True, id_type: T.DataType | str = "bigint") -> DataFrame:
+    """page_id, url, payload (null in a revisit), payload_bytes, payload_digest, record_type, refers_to, and the records'
+    own ids: record_id, refers_to_record."""
+    fields = [("page_id", pa.string()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.string()), ("record_id", pa.string()), ("refers_to_record", pa.string())] + [("payload", pa.binary())] * payload
 
     def run(batches):
         for batch in batches:
@@ -132,12 +158,15 @@ def parse(records: DataFrame, payload: bool = True) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([x[n] for x in found], t) for n, t in fields], [n for n, _ in fields])
 
     common.small_batches(records.sparkSession)
-    return records.select("record").mapInArrow(run, "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint" + ", payload binary" * payload)
+    found = records.select("record").mapInArrow(run, ", ".join(f"{n} {'bigint' if t == pa.int64() else 'binary' if t == pa.binary() else 'string'}" for n, t in fields))
+    return found.withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    headers, payloads = write_archive(common.table(spark, sf_dir, "pages"))
-    return parse(read_records(headers, payloads), payload=False).drop("url")
+    pages = common.table(spark, sf_dir, "pages")
+    headers, payloads = write_archive(pages)
+    found = parse(read_records(headers, payloads), payload=False, id_type=pages.schema["page_id"].dataType)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 SQL = r"""
