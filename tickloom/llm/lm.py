@@ -320,7 +320,7 @@ def _emit_words(shards: int):
     return run
 
 
-def _count_words(shards: int):
+def _count_words(shards: int, limit: int):
     """Numbers and counts of a shard's words for each block; in a row without block, the shard's totals and top words."""
 
     def run(data: pa.Table) -> pa.Table:
@@ -337,7 +337,7 @@ def _count_words(shards: int):
             mine = at[start : start + len(w)]
             start += len(w)
             out.append((block, shard, _pack(number[mine]), _pack(n[mine]), None, None, None, None))
-        top = np.flatnonzero(n > LIMIT)
+        top = np.flatnonzero(n > limit)
         out.append((None, shard, None, None, int(n.sum()), int((n > 0).sum()), number[top].tolist(), n[top].tolist()))
         kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["block", "shard", "numbers", "counts", "total", "distinct", "top", "top_counts"])
@@ -432,18 +432,22 @@ def _emit_pairs(shards: int, heavy: np.ndarray):
 _PAIRS = "block bigint, shard int, counts binary, hot array<bigint>, hot_counts array<bigint>"
 
 
-def _count_pairs(data: pa.Table) -> pa.Table:
+def _count_pairs(limit: int):
     """The counts over all blocks of each block's pairs; in a row without block, the heavy pairs."""
-    pairs = [_unpack(a) * WORDS + _unpack(b) for a, b in zip(data["slots"].to_pylist(), data["words"].to_pylist())]
-    distinct, at = np.unique(np.concatenate(pairs), return_inverse=True)
-    n = np.bincount(at, np.concatenate([_unpack(x) for x in data["counts"].to_pylist()]), len(distinct)).astype(np.int64)
-    ends = np.cumsum([len(x) for x in pairs])
-    hot = np.flatnonzero(n > LIMIT)
-    shard, blocks = data["shard"][0].as_py(), data["block"].to_pylist()
-    counts = [_pack(n[x]) for x in np.split(at, ends[:-1])]
-    rows = [(b, shard, c, None, None) for b, c in zip(blocks, counts)] + [(None, shard, None, distinct[hot].tolist(), n[hot].tolist())]
-    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], [c.split()[0] for c in _PAIRS.split(", ")])
+
+    def run(data: pa.Table) -> pa.Table:
+        pairs = [_unpack(a) * WORDS + _unpack(b) for a, b in zip(data["slots"].to_pylist(), data["words"].to_pylist())]
+        distinct, at = np.unique(np.concatenate(pairs), return_inverse=True)
+        n = np.bincount(at, np.concatenate([_unpack(x) for x in data["counts"].to_pylist()]), len(distinct)).astype(np.int64)
+        ends = np.cumsum([len(x) for x in pairs])
+        hot = np.flatnonzero(n > limit)
+        shard, blocks = data["shard"][0].as_py(), data["block"].to_pylist()
+        counts = [_pack(n[x]) for x in np.split(at, ends[:-1])]
+        rows = [(b, shard, c, None, None) for b, c in zip(blocks, counts)] + [(None, shard, None, distinct[hot].tolist(), n[hot].tolist())]
+        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], [c.split()[0] for c in _PAIRS.split(", ")])
+
+    return run
 
 
 def _emit_trigrams(shards: int, heavy: dict[int, tuple[int, int]], keys: np.ndarray, totals: np.ndarray):
@@ -536,7 +540,7 @@ def _finish(kind: pa.DataType):
     return run
 
 
-def score(docs: DataFrame, held_out: Column, *, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, *, key: str = "doc_id", text: str = "text", block: int = BLOCK, limit: int = LIMIT) -> DataFrame:
     """One row for each of ``docs``: key, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     common.small_batches(spark, 8 << 20)
@@ -548,15 +552,15 @@ def score(docs: DataFrame, held_out: Column, *, key: str = "doc_id", text: str =
     tokens = blocks.select(F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, x: a + x + 1))).first()[0] or 0
     shards = max(LEAST_SHARDS, -(-tokens // SHARD_TOKENS))
     words = blocks.select("block", "train", "sizes", "vocab", "tokens").mapInArrow(_emit_words(shards), "shard int, block bigint, words binary, counts binary")
-    words = common.materialize(words.groupBy("shard").applyInArrow(_count_words(shards), _WORDS), "lm-words")
+    words = common.materialize(words.groupBy("shard").applyInArrow(_count_words(shards, limit), _WORDS), "lm-words")
     total, distinct = words.where("block IS NULL").agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
-    least = max(LIMIT, total // MOST_HEAVY)
+    least = max(limit, total // MOST_HEAVY)
     tops = words.where("block IS NULL").select(F.explode(F.arrays_zip("top", "top_counts")).alias("x")).select("x.*").where(F.col("top_counts") > least)
-    heavy = {r["top"] + 2: (-(-r["top_counts"] // LIMIT), r["top_counts"]) for r in tops.collect()}
+    heavy = {r["top"] + 2: (-(-r["top_counts"] // limit), r["top_counts"]) for r in tops.collect()}
     # START stands before each text's first word, and is no token itself
     starts = blocks.select(F.sum(F.size(F.filter("train", lambda x: x)))).first()[0] or 0
     if starts > least:
-        heavy[1] = (-(-starts // LIMIT), starts)
+        heavy |= {0: (1, starts), 1: (-(-starts // limit), starts)}
     heavy_words = np.array(sorted(heavy), np.int64)
     answers = words.where("block IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("shard", "numbers", "counts")).alias("parts"))
     coded = blocks.join(answers, "block").select("block", "keys", "train", "sizes", "vocab", "tokens", "parts")
@@ -565,8 +569,9 @@ def score(docs: DataFrame, held_out: Column, *, key: str = "doc_id", text: str =
     common.discard(words)
     common.tidy(spark)
     pairs = coded.select("block", "train", "sizes", "numbers", "tokens").mapInArrow(_emit_pairs(shards, heavy_words), "shard int, block bigint, slots binary, words binary, counts binary")
-    pairs = common.materialize(pairs.groupBy("shard").applyInArrow(_count_pairs, _PAIRS), "lm-pairs")
-    hot = pairs.where("block IS NULL").select(F.explode(F.arrays_zip("hot", "hot_counts")).alias("x")).select("x.*").where(F.col("hot_counts") > least).orderBy("hot").collect()
+    pairs = common.materialize(pairs.groupBy("shard").applyInArrow(_count_pairs(limit), _PAIRS), "lm-pairs")
+    hot = pairs.where("block IS NULL").select(F.explode(F.arrays_zip("hot", "hot_counts")).alias("x")).select("x.*").where(F.col("hot_counts") > least).collect()
+    hot = sorted([*map(tuple, hot), *([(heavy_words.tolist().index(0) * WORDS + 1, starts)] if 0 in heavy else [])])
     keys, totals = (np.array([r[i] for r in hot], np.int64) for i in range(2))
     common.tidy(spark)
     with_sums = coded.join(pairs.where("block IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("shard", "counts")).alias("sums")), "block", "left")

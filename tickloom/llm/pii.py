@@ -4,8 +4,8 @@ Four shapes (email, ip, card, phone) are found in every text: these spans are th
 an ``@`` is a *mention*.  Lexical *patterns* are the words beside a token, at four grains: the two words before it, the one
 before, the one after, and the one before with the one after; lower case, with classes in place of words that hold digits or
 an ``@``.  Spark then scores the graph of patterns and instances (tokens) in turns, until a turn finds no further pattern and
-no further instance: a pattern's confidence for a kind is the mean score of the distinct instances that it stands by; an
-instance's score is the chance that not all its patterns are wrong, where of the grains of one side the surest counts.  A
+no further instance: a pattern's confidence for a kind is the mean score of the distinct instances that it stands by, of
+which those without any kind so far count for a half; an instance's score is the chance that not all its patterns are wrong, where of the grains of one side the surest counts.  A
 pattern needs ``support`` distinct instances that back it and a confidence of ``confident``.  Mentions of instances that
 end up scored at least ``accept`` are added as spans of kind ``ctx_<kind>``.
 
@@ -31,6 +31,8 @@ from . import common
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, *(f"ctx_{k}" for k in BASE))
 SUPPORT, CONFIDENT, ACCEPT = 5, 0.8, 0.9
+#: What an instance without any kind counts for against a pattern: it may be one that nobody has found yet.
+UNKNOWN = 0.5
 #: Shorter tokens are no identifiers.
 LEAST_TOKEN = 5
 #: Sides of the four grains: before, before, after, both.
@@ -159,8 +161,11 @@ def _turn(edges: DataFrame, unknown: DataFrame, total: DataFrame, scored: DataFr
     known = edges.where("kind >= 0").select("pattern", "side", "instance", F.col("kind").alias("found_kind"), F.lit(1.0).alias("score"))
     if scored is not None:
         known = known.unionByName(unknown.join(_maybe_broadcast(scored), "instance").select("pattern", "side", "instance", "found_kind", "score"))
-    patterns = known.groupBy("pattern", "side", "found_kind").agg(F.sum("score").alias("mass"), F.count(F.lit(1)).alias("backed")).where(F.col("backed") >= support)
-    patterns = patterns.join(total, "pattern").select("pattern", "side", "found_kind", F.least(F.col("mass") / F.col("instances"), F.lit(0.99)).alias("confidence"))
+    patterns = known.groupBy("pattern", "side", "found_kind").agg(F.sum("score").alias("mass"), F.count(F.lit(1)).alias("backed"))
+    all_ = patterns.groupBy("pattern").agg(F.sum("backed").alias("of_a_kind"))
+    patterns = patterns.where(F.col("backed") >= support).join(all_, "pattern").join(total, "pattern")
+    weighed = F.col("of_a_kind") + UNKNOWN * F.greatest(F.col("instances") - F.col("of_a_kind"), F.lit(0))
+    patterns = patterns.select("pattern", "side", "found_kind", F.least(F.col("mass") / weighed, F.lit(0.99)).alias("confidence"))
     patterns = common.materialize(patterns.where(F.col("confidence") >= confident), "pii-patterns")
     surest = unknown.join(_maybe_broadcast(patterns.drop("side")), "pattern").groupBy("instance", "found_kind", "side").agg(F.max("confidence").alias("c"))
     found = surest.groupBy("instance", "found_kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("c"))))).alias("score"))
