@@ -90,7 +90,7 @@ def test_odd_values(spark, odd):
     assert cut[1, 0].spans == [] and bytes(cut[2, 0].kept) == b"" and len(cut[4, 21_000].kept) < 300
     m = {r["rank"]: r for r in mix.mix(odd).collect()}
     assert [m[i]["_size"] for i in (1, 2, 3, 7, 8)] == [0, 0, 3, 1, 180_000] and m[8]["_copies"] <= 2 and m[3]["_copies"] == m[4]["_copies"]
-    assert secrets.redact(odd).collect() == odd.collect()
+    assert sorted(map(str, secrets.redact(odd).collect())) == sorted(map(str, odd.collect()))
 
 
 def test_secrets_in_a_very_long_text(spark):
