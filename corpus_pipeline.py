@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickloom.functions import scratch
 from tickloom.llm import common, decontaminate, mix, neardup, secrets, toxicity
 
 STAGES = [
@@ -25,5 +26,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
+        before = scratch.made()
         docs = common.materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        scratch.keep_only(spark, before, docs)
     return docs

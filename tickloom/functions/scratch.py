@@ -46,6 +46,17 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
+def made() -> set[str]:
+    """The paths made so far that aren't deleted."""
+    return set(_made)
+
+
+def keep_only(spark: SparkSession, before: set[str], *tables: DataFrame) -> None:
+    """Deletes what was made since ``before``, but for these tables."""
+    for path in made() - before - {t.scratch_path for t in tables}:
+        delete(spark, path)
+
+
 def discard(*tables: DataFrame | None) -> None:
     """Deletes materialised tables that no later plan reads any more."""
     for df in tables:
