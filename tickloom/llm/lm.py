@@ -7,8 +7,8 @@ training tokens, the probability of a token ``w`` after ``u v`` is interpolated
     p(w | v)   = (c(v w) + M2 p(w)) / (c(v) + M2)
     p(w)       = (c(w) + 0.5) / (N + 0.5 (V + 1))
 
-A word ``v`` with over ``LIMIT`` tokens (and 1 / 2 ** 20 of all, so that such words stay under 2 ** 20) is *heavy*: the level
-of ``u v`` is split by a hash of ``u`` into parts of about ``LIMIT`` tokens.  Its ``p(w | v)`` comes from counts over the whole
+A word ``v`` with over ``LIMIT`` tokens or 1 / ``SHARE`` of all (but no fewer than 1 in 2 ** 20, so that such words stay under
+that number) is *heavy*: the level of ``u v`` is split by a hash of ``u`` into parts of about so many tokens.  Its ``p(w | v)`` comes from counts over the whole
 data: the blocks' pairs ``v w`` are summed by a hash of both words, and the blocks get the sums back.  A pair ``u v`` that is
 heavy itself is split by ``w``; its total is among those sums.
 
@@ -19,7 +19,7 @@ heavy itself is split by ``w``; its total is among those sums.
    successors ``w`` and the words ``u`` before it; under each ``u v`` the successors, as ranks among the successors of
    ``v``.  Every level, and the pointers from each node to its children, is a monotone sequence in Elias-Fano code, with
    probabilities and weights as two-byte logarithms.  The levels are written to one file and memory-mapped; beside them a
-   query only holds a count for each 512 bits.  A successor is searched in the pointer range of its context.
+   query only holds a count for each 64 bits.  A successor is searched in the pointer range of its context.
 3. The shard sends back one sum for each document of a block.  Nothing of the model or the corpus passes the driver but
    two totals and the heavy words and pairs with their counts.
 
@@ -45,7 +45,7 @@ BLOCK = 8_000_000
 M2, M3 = 50.0, 20.0
 SHARD_TOKENS, LEAST_SHARDS = 1_200_000, 48
 #: Tokens of a word, or of a pair of words, that one shard holds at the most.
-LIMIT, MOST_HEAVY = SHARD_TOKENS // 2, 1 << 20
+LIMIT, SHARE, MOST_HEAVY = SHARD_TOKENS // 2, 256, 1 << 20
 #: A context is its word's number and its part; a pair is a heavy word's place and the other word's number.
 PARTS, WORDS = 1 << 20, 1 << 43
 END, START = np.uint64(1), np.uint64(2)
@@ -74,9 +74,9 @@ _SELECT = np.array([[*np.flatnonzero(row), *[8] * (8 - int(row.sum()))] for row
 
 
 class EliasFano:
-    """A strictly increasing sequence: low bits packed, high bits in unary, with a count of ones for each 512 bits."""
+    """A strictly increasing sequence: low bits packed, high bits in unary, with a count of ones for each 64 bits."""
 
-    BYTES, AT_ONCE = 64, 1 << 15
+    BYTES, AT_ONCE = 8, 1 << 17
 
     def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray):
         self.n, self.low_bits, self.low = n, low_bits, low
@@ -337,7 +337,7 @@ def _count_words(shards: int, limit: int):
             mine = at[start : start + len(w)]
             start += len(w)
             out.append((block, shard, _pack(number[mine]), _pack(n[mine]), None, None, None, None))
-        top = np.flatnonzero(n > limit)
+        top = np.union1d(order[:SHARE], np.flatnonzero(n > limit))  # of no shard more can have that share
         out.append((None, shard, None, None, int(n.sum()), int((n > 0).sum()), number[top].tolist(), n[top].tolist()))
         kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["block", "shard", "numbers", "counts", "total", "distinct", "top", "top_counts"])
@@ -554,13 +554,13 @@ def score(docs: DataFrame, held_out: Column, *, key: str = "doc_id", text: str =
     words = blocks.select("block", "train", "sizes", "vocab", "tokens").mapInArrow(_emit_words(shards), "shard int, block bigint, words binary, counts binary")
     words = common.materialize(words.groupBy("shard").applyInArrow(_count_words(shards, limit), _WORDS), "lm-words")
     total, distinct = words.where("block IS NULL").agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
-    least = max(limit, total // MOST_HEAVY)
+    least = max(min(limit, total // SHARE), total // MOST_HEAVY, 1)
     tops = words.where("block IS NULL").select(F.explode(F.arrays_zip("top", "top_counts")).alias("x")).select("x.*").where(F.col("top_counts") > least)
-    heavy = {r["top"] + 2: (-(-r["top_counts"] // limit), r["top_counts"]) for r in tops.collect()}
+    heavy = {r["top"] + 2: (-(-r["top_counts"] // least), r["top_counts"]) for r in tops.collect()}
     # START stands before each text's first word, and is no token itself
     starts = blocks.select(F.sum(F.size(F.filter("train", lambda x: x)))).first()[0] or 0
     if starts > least:
-        heavy |= {0: (1, starts), 1: (-(-starts // limit), starts)}
+        heavy |= {0: (1, starts), 1: (-(-starts // least), starts)}
     heavy_words = np.array(sorted(heavy), np.int64)
     answers = words.where("block IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("shard", "numbers", "counts")).alias("parts"))
     coded = blocks.join(answers, "block").select("block", "keys", "train", "sizes", "vocab", "tokens", "parts")
@@ -569,8 +569,8 @@ def score(docs: DataFrame, held_out: Column, *, key: str = "doc_id", text: str =
     common.discard(words)
     common.tidy(spark)
     pairs = coded.select("block", "train", "sizes", "numbers", "tokens").mapInArrow(_emit_pairs(shards, heavy_words), "shard int, block bigint, slots binary, words binary, counts binary")
-    pairs = common.materialize(pairs.groupBy("shard").applyInArrow(_count_pairs(limit), _PAIRS), "lm-pairs")
-    hot = pairs.where("block IS NULL").select(F.explode(F.arrays_zip("hot", "hot_counts")).alias("x")).select("x.*").where(F.col("hot_counts") > least).collect()
+    pairs = common.materialize(pairs.groupBy("shard").applyInArrow(_count_pairs(least), _PAIRS), "lm-pairs")
+    hot = pairs.where("block IS NULL").select(F.explode(F.arrays_zip("hot", "hot_counts")).alias("x")).select("x.*").collect()
     hot = sorted([*map(tuple, hot), *([(heavy_words.tolist().index(0) * WORDS + 1, starts)] if 0 in heavy else [])])
     keys, totals = (np.array([r[i] for r in hot], np.int64) for i in range(2))
     common.tidy(spark)
