@@ -14,14 +14,15 @@ heavy itself is split by ``w``; its total is among those sums.
 
 1. Documents are packed into blocks of token numbers with the block's own words; the words' counts meet by hash in
    shards, which give each word a number that is small where the word is frequent, and answer to the blocks.
-2. The pairs after heavy words are counted in the same way.  The blocks deal their trigrams, by middle context, to shards,
-   each with its ``p(w)``, or ``p(w | v)`` where ``v`` is heavy.  A shard builds a trie: contexts ``v``; under each its
+2. The pairs after heavy words are counted in the same way.  The blocks deal their distinct trigrams, by middle context, to
+   shards, each with its count in the block's training part and its ``p(w)``, or ``p(w | v)`` where ``v`` is heavy: a very
+   common trigram comes once from each block.  A shard builds a trie: contexts ``v``; under each its
    successors ``w`` and the words ``u`` before it; under each ``u v`` the successors, as ranks among the successors of
    ``v``.  Every level, and the pointers from each node to its children, is a monotone sequence in Elias-Fano code, with
    probabilities and weights as two-byte logarithms.  The levels are written to one file and memory-mapped; beside them a
    query only holds a count for each 64 bits.  A successor is searched in the pointer range of its context.
-3. The shard sends back one sum for each document of a block.  Nothing of the model or the corpus passes the driver but
-   two totals and the heavy words and pairs with their counts.
+3. The shard sends back the logarithm of each trigram's probability, and the block sums them over its documents.  Nothing
+   of the model or the corpus passes the driver but two totals and the heavy words and pairs with their counts.
 
 The pieces that blocks send to shards grow with the product of both, which is what bounds a single run of this size.
 
@@ -37,7 +38,7 @@ import tempfile
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import common
 
@@ -52,6 +53,8 @@ END, START = np.uint64(1), np.uint64(2)
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Step of the logarithms: for shares of counts, and for the probabilities that come with a trigram.
 STEP, BASE_STEP = 0.001, 0.05
+#: Step of the decimal logarithms that a shard sends back.
+LOG_STEP = 0.0005
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -367,8 +370,8 @@ def _code(shards: int, total: int, distinct: int, kind: pa.DataType):
                 quant = _code_of(p1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block], pa.int64()), pa.array([keys], pa.list_(kind)), pa.array([train], pa.list_(pa.bool_())), pa.array([sizes.tolist()], pa.list_(pa.int64())), pa.array([known.tolist()], pa.list_(pa.int64())),
-                     pa.array([base.tolist()], pa.list_(pa.float64())), pa.array([_pack(number)], pa.binary()), pa.array([_pack(quant)], pa.binary()), pa.array([tokens], pa.binary())],
-                    ["block", "keys", "train", "sizes", "known", "base", "numbers", "quant", "tokens"],
+                     pa.array([base.tolist()], pa.list_(pa.float64())), pa.array([_pack(number)], pa.binary()), pa.array([_pack(quant)], pa.binary()), pa.array([tokens], pa.binary()), pa.array([len(h)], pa.int64())],
+                    ["block", "keys", "train", "sizes", "known", "base", "numbers", "quant", "tokens", "n_words"],
                 )
 
     return run
@@ -387,6 +390,24 @@ def _grams(numbers: bytes, sizes, tokens: bytes):
     return t, u, v, w, doc
 
 
+def _distinct(sizes, n_words: int, tokens: bytes):
+    """The block's distinct trigrams in a fixed order, as numbers of the block's words (``n_words`` and the one after it
+    stand before the first words); for each position its trigram and its document."""
+    sizes = np.array(sizes, np.int64)
+    w, doc = _with_ends(_unpack(tokens), sizes, n_words - 1)
+    start = np.cumsum(sizes + 1) - sizes - 1
+    v, u = np.roll(w, 1), np.roll(w, 2)
+    v[start], u[start] = n_words, n_words + 1
+    u[start[sizes > 0] + 1] = n_words
+    wide = n_words + 2
+    if wide < 1 << 20:
+        key, which = np.unique((u * wide + v) * wide + w, return_inverse=True)
+        return key // (wide * wide), key // wide % wide, key % wide, which, doc
+    pair, at = np.unique(u * wide + v, return_inverse=True)
+    key, which = np.unique(at * wide + w, return_inverse=True)
+    return pair[key // wide] // wide, pair[key // wide] % wide, key % wide, which, doc
+
+
 def _slots(v: np.ndarray, heavy: np.ndarray) -> np.ndarray:
     """The place of each word among the sorted heavy ones, or -1."""
     if not len(heavy):
@@ -450,34 +471,38 @@ def _count_pairs(limit: int):
     return run
 
 
+_TRIGRAMS = "shard int, block bigint, at binary, u binary, v binary, w binary, part binary, p1 binary, n binary"
+
+
 def _emit_trigrams(shards: int, heavy: dict[int, tuple[int, int]], keys: np.ndarray, totals: np.ndarray):
     """heavy: parts and count in training of each heavy word; keys and totals: the heavy pairs and their counts."""
+    names = [c.split()[0] for c in _TRIGRAMS.split(", ")]
 
     def run(batches):
         words = np.array(sorted(heavy), np.int64)
         split_by, total = (np.array([heavy[k][i] for k in sorted(heavy)], np.int64) for i in range(2))
         for batch in batches:
             for block, train, sizes, numbers, quant, tokens, sums in zip(*(batch.column(i).to_pylist() for i in range(7))):
-                t, u, v, w, doc = _grams(numbers, sizes, tokens)
-                p1 = _unpack(quant)[t]
+                number = np.concatenate((_unpack(numbers) + 2, [1, 0]))
+                u, v, w, which, doc = _distinct(sizes, len(number) - 2, tokens)
+                count = np.bincount(which, np.array(train, float)[doc], len(u)).astype(np.int64)
+                p1 = _unpack(quant)[w]
+                u, v, w = number[u], number[v], number[w]
                 part = np.zeros(len(w), np.int64)
-                hot, which, pairs, home = _heavy_pairs(v, w, words, shards)
+                hot, pair_of, pairs, home = _heavy_pairs(v, w, words, shards)
                 if len(hot):
                     slot = pairs // WORDS
                     n = np.empty(len(pairs), np.int64)
                     for x in sums:
                         n[home == x["shard"]] = _unpack(x["counts"])
                     by = np.where(_totals(u[hot], v[hot], words, keys, totals) > 0, common.mix(w[hot].astype(np.uint64)), np.uint64(0))
-                    part[hot] = (common.mix(u[hot].astype(np.uint64) + by) % split_by[slot[which]].astype(np.uint64)).astype(np.int64)
-                    p1[hot] = _code_of(((n[which] + M2 * _value_of(p1[hot])) / (total[slot] + M2)[which]))
+                    part[hot] = (common.mix(u[hot].astype(np.uint64) + by) % split_by[slot[pair_of]].astype(np.uint64)).astype(np.int64)
+                    p1[hot] = _code_of(((n[pair_of] + M2 * _value_of(p1[hot])) / (total[slot] + M2)[pair_of]))
                 shard = (common.mix((v * PARTS + part).astype(np.uint64)) % np.uint64(shards)).astype(np.int32)
                 order = np.argsort(shard, kind="stable")
-                flags = np.array(train, bool)
                 for p in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-                    docs, n = np.unique(doc[p], return_counts=True)
-                    head = _pack(np.concatenate((np.diff(docs, prepend=0), n * 2 + flags[docs])))
-                    body = (_pack(x[p]) for x in (u, v, w, part, p1))
-                    yield pa.RecordBatch.from_arrays([pa.array([int(shard[p[0]])], pa.int32()), pa.array([block], pa.int64()), pa.array([head], pa.binary()), *(pa.array([x], pa.binary()) for x in body)], ["shard", "block", "docs", "u", "v", "w", "part", "p1"])
+                    body = (np.diff(p, prepend=0), u[p], v[p], w[p], part[p], p1[p], count[p])
+                    yield pa.RecordBatch.from_arrays([pa.array([int(shard[p[0]])], pa.int32()), pa.array([block], pa.int64()), *(pa.array([_pack(x)], pa.binary()) for x in body)], names)
 
     return run
 
@@ -487,42 +512,37 @@ def _narrow(x: np.ndarray) -> np.ndarray:
 
 
 def _score_shard(heavy: np.ndarray, keys: np.ndarray, totals: np.ndarray):
-    """log10 probability of each block's documents, as far as their trigrams are in this shard."""
+    """The decimal logarithm of the probability of each block's trigrams that are in this shard."""
 
     def run(data: pa.Table) -> pa.Table:
-        blocks, column = data["block"].to_pylist(), lambda c: [_unpack(x.as_py()) for x in data[c]]
-        # distinct trigrams of each block first, so that the shard's sort is over fewer rows
-        cols = {c: _narrow(np.concatenate(column(c))) for c in ("u", "v", "w", "part")}
-        p1 = np.concatenate([x.astype(np.uint16) for x in column("p1")])
-        heads = [h.reshape(2, -1) for h in column("docs")]
-        train = np.concatenate([np.repeat(h[1] & 1, h[1] >> 1) for h in heads]).astype(np.int8)
+        def column(c: str) -> list[np.ndarray]:
+            return [_narrow(_unpack(x.as_py())) for x in data[c]]
+
+        def flat(c: str) -> np.ndarray:
+            return np.concatenate(column(c))
+
+        cols = {c: flat(c) for c in ("u", "v", "w", "part")}
         order = np.lexsort((cols["w"], cols["u"], cols["part"], cols["v"]))
         u, v, w, part = (cols.pop(c)[order] for c in ("u", "v", "w", "part"))
         starts, run_of = _runs(v, part, u, w)
+        u, v, w, part = (x[starts].astype(np.int64) for x in (u, v, w, part))
+        n = np.add.reduceat(flat("n")[order].astype(np.int64), starts)
+        p = flat("p1")[order[starts]]
         which = np.empty(len(order), np.int32)
         which[order] = run_of
-        u, v, w, part, p = u[starts].astype(np.int64), v[starts].astype(np.int64), w[starts].astype(np.int64), part[starts], p1[order][starts]
-        n = np.bincount(which, train, len(u)).astype(np.int64)
-        del order, p1, run_of, starts
+        del order, run_of, starts
         pair_total, given, context = _totals(u, v, heavy, keys, totals), _slots(v, heavy) >= 0, v * PARTS + part
         seen = n > 0
         file, path = tempfile.mkstemp(prefix="trie-")
         os.close(file)
         try:
             trie = Trie(path, Trie.write(path, u[seen], context[seen], w[seen], n[seen], pair_total[seen]))
-            logs = np.log10(trie.score(u, context, w, _value_of(p), given, pair_total))
+            logs = np.rint(np.log10(trie.score(u, context, w, _value_of(p), given, pair_total)) / -LOG_STEP).astype(np.int64)
             del trie
         finally:
             os.unlink(path)
-        out, start = {"block": [], "docs": [], "logs": []}, 0
-        for block, head in zip(blocks, heads):
-            count = head[1] >> 1
-            mine = logs[which[start : start + int(count.sum())]]
-            start += int(count.sum())
-            out["block"].append(block)
-            out["docs"].append(_pack(np.cumsum(head[0])))
-            out["logs"].append(np.add.reduceat(mine, np.cumsum(count) - count).tobytes())
-        return pa.table([pa.array(out["block"], pa.int64()), pa.array(out["docs"], pa.binary()), pa.array(out["logs"], pa.binary())], ["block", "docs", "logs"])
+        ends = np.cumsum([len(x) for x in column("at")])
+        return pa.table([data["block"], data["at"], pa.array([_pack(logs[x]) for x in np.split(which, ends[:-1])], pa.binary())], ["block", "at", "logs"])
 
     return run
 
@@ -530,11 +550,12 @@ def _score_shard(heavy: np.ndarray, keys: np.ndarray, totals: np.ndarray):
 def _finish(kind: pa.DataType):
     def run(batches):
         for batch in batches:
-            for keys, train, sizes, known, base, parts in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                score = np.zeros(len(keys))
-                # in one order always, so that reruns sum alike
-                for p in sorted(parts or (), key=lambda p: (p["docs"], p["logs"])):
-                    score[_unpack(p["docs"])] += np.frombuffer(p["logs"], np.float64)
+            for keys, train, sizes, known, base, n_words, tokens, parts in zip(*(batch.column(i).to_pylist() for i in range(8))):
+                *_, which, doc = _distinct(sizes, n_words, tokens)
+                logs = np.zeros(int(which.max(initial=-1)) + 1)
+                for p in parts or ():
+                    logs[np.cumsum(_unpack(p["at"]))] = _unpack(p["logs"])
+                score = np.bincount(doc, logs[which], len(keys)) * -LOG_STEP
                 yield pa.RecordBatch.from_arrays([pa.array(keys, kind), pa.array([not x for x in train], pa.bool_()), pa.array([x + 1 for x in sizes], pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())], ["key", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     return run
@@ -545,7 +566,7 @@ def score(docs: DataFrame, held_out: Column, *, key: str = "doc_id", text: str =
     spark = docs.sparkSession
     common.small_batches(spark, 8 << 20)
     field = docs.schema[key].dataType
-    kind = pa.int64() if isinstance(field, T.LongType) else pa.int32() if isinstance(field, T.IntegerType) else pa.string()
+    kind = common.arrow_type(field)
     name = field.simpleString()
     chosen = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), (~F.coalesce(held_out, F.lit(False))).alias("train"))
     blocks = common.materialize(chosen.mapInArrow(_blocks(block, kind), f"keys array<{name}>, train array<boolean>, sizes array<bigint>, vocab binary, tokens binary").withColumn("block", F.monotonically_increasing_id()), "lm-blocks")
@@ -564,7 +585,7 @@ def score(docs: DataFrame, held_out: Column, *, key: str = "doc_id", text: str =
     heavy_words = np.array(sorted(heavy), np.int64)
     answers = words.where("block IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("shard", "numbers", "counts")).alias("parts"))
     coded = blocks.join(answers, "block").select("block", "keys", "train", "sizes", "vocab", "tokens", "parts")
-    coded = common.materialize(coded.mapInArrow(_code(shards, total, distinct, kind), f"block bigint, keys array<{name}>, train array<boolean>, sizes array<bigint>, known array<bigint>, base array<double>, numbers binary, quant binary, tokens binary"), "lm-coded")
+    coded = common.materialize(coded.mapInArrow(_code(shards, total, distinct, kind), f"block bigint, keys array<{name}>, train array<boolean>, sizes array<bigint>, known array<bigint>, base array<double>, numbers binary, quant binary, tokens binary, n_words bigint"), "lm-coded")
     common.discard(blocks)
     common.discard(words)
     common.tidy(spark)
@@ -575,12 +596,12 @@ def score(docs: DataFrame, held_out: Column, *, key: str = "doc_id", text: str =
     keys, totals = (np.array([r[i] for r in hot], np.int64) for i in range(2))
     common.tidy(spark)
     with_sums = coded.join(pairs.where("block IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("shard", "counts")).alias("sums")), "block", "left")
-    trigrams = with_sums.select("block", "train", "sizes", "numbers", "quant", "tokens", "sums").mapInArrow(_emit_trigrams(shards, heavy, keys, totals), "shard int, block bigint, docs binary, u binary, v binary, w binary, part binary, p1 binary")
-    sums = common.materialize(trigrams.groupBy("shard").applyInArrow(_score_shard(heavy_words, keys, totals), "block bigint, docs binary, logs binary"), "lm-sums")
+    trigrams = with_sums.select("block", "train", "sizes", "numbers", "quant", "tokens", "sums").mapInArrow(_emit_trigrams(shards, heavy, keys, totals), _TRIGRAMS)
+    logs = common.materialize(trigrams.groupBy("shard").applyInArrow(_score_shard(heavy_words, keys, totals), "block bigint, at binary, logs binary"), "lm-logs")
     common.discard(pairs)
     common.tidy(spark)
-    sums = sums.groupBy("block").agg(F.collect_list(F.struct("docs", "logs")).alias("parts"))
-    out = coded.select("block", "keys", "train", "sizes", "known", "base").join(sums, "block", "left").select("keys", "train", "sizes", "known", "base", "parts")
+    logs = logs.groupBy("block").agg(F.collect_list(F.struct("at", "logs")).alias("parts"))
+    out = coded.select("block", "keys", "train", "sizes", "known", "base", "n_words", "tokens").join(logs, "block", "left").select("keys", "train", "sizes", "known", "base", "n_words", "tokens", "parts")
     out = out.mapInArrow(_finish(kind), f"key {name}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
     return out.withColumn("train_tokens", F.lit(total).cast("bigint"))
 
