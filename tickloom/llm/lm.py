@@ -46,6 +46,8 @@ M2, M3 = 50.0, 20.0
 SHARD_TOKENS, LEAST_SHARDS = 1_200_000, 48
 #: Tokens of a word, or of a pair of words, that one shard holds at the most.
 LIMIT, SHARE, MOST_HEAVY = SHARD_TOKENS // 2, 256, 1 << 20
+#: Trigrams that a shard scores at once.
+AT_ONCE = 200_000
 #: A context is its word's number and its part; a pair is a heavy word's place and the other word's number.
 PARTS, WORDS = 1 << 20, 1 << 43
 END, START = np.uint64(1), np.uint64(2)
@@ -94,7 +96,9 @@ class EliasFano:
         unary = np.zeros(-(-size // (8 * cls.BYTES)) * 8 * cls.BYTES, np.uint8)
         unary[high + np.arange(n)] = 1
         if bits:
-            low = ((values[:, None] >> np.arange(bits)) & 1).astype(np.uint8)
+            low = np.empty((n, bits), np.uint8)
+            for k in range(bits):
+                low[:, k] = values >> k & 1
             low = np.packbits(low.reshape(-1), bitorder="little")
         else:
             low = np.empty(0, np.uint8)
@@ -490,9 +494,8 @@ def _score_shard(heavy: np.ndarray, keys: np.ndarray, totals: np.ndarray):
     """log10 probability of each block's documents, as far as their trigrams are in this shard."""
 
     def run(data: pa.Table) -> pa.Table:
-        blocks, column = data["block"].to_pylist(), lambda c: [_unpack(x.as_py()) for x in data[c]]
-        # distinct trigrams of each block first, so that the shard's sort is over fewer rows
-        cols = {c: _narrow(np.concatenate(column(c))) for c in ("u", "v", "w", "part")}
+        blocks, column = data["block"].to_pylist(), lambda c: [_narrow(_unpack(x.as_py())) for x in data[c]]
+        cols = {c: np.concatenate(column(c)) for c in ("u", "v", "w", "part")}
         p1 = np.concatenate([x.astype(np.uint16) for x in column("p1")])
         heads = [h.reshape(2, -1) for h in column("docs")]
         train = np.concatenate([np.repeat(h[1] & 1, h[1] >> 1) for h in heads]).astype(np.int8)
@@ -510,7 +513,10 @@ def _score_shard(heavy: np.ndarray, keys: np.ndarray, totals: np.ndarray):
         os.close(file)
         try:
             trie = Trie(path, Trie.write(path, u[seen], context[seen], w[seen], n[seen], pair_total[seen]))
-            logs = np.log10(trie.score(u, context, w, _value_of(p), given, pair_total))
+            logs = np.empty(len(u))
+            for k in range(0, len(u), AT_ONCE):
+                x = slice(k, k + AT_ONCE)
+                logs[x] = np.log10(trie.score(u[x], context[x], w[x], _value_of(p[x]), given[x], pair_total[x]))
             del trie
         finally:
             os.unlink(path)
