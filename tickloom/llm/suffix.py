@@ -39,7 +39,7 @@ from . import common
 LENGTH, GRAM = 100, 24
 BLOCK = 2_000_000
 #: Text for one shard of anchors; regions for one shard and for one suffix array; one part of a hot anchor.
-SHARD_TEXT, SHARD_REGIONS, CHUNK, HOT = 8_000_000, 6_000_000, 1_500_000, 500_000
+SHARD_TEXT, SHARD_REGIONS, CHUNK, HOT = 8_000_000, 6_000_000, 1_500_000, 1_500_000
 LEAST_SHARDS = 48
 _NULL = -(1 << 63)
 _TABLE = common.mix(np.arange(1, 257, dtype=np.uint64))
@@ -386,7 +386,7 @@ def merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
 
     One part after the other is looked up in the merged list by binary search; ages are rows of numbers, compared in order.
     """
-    merged, best = parts[0][0][:0], parts[0][1][:0]
+    merged, best = parts[0][0][:0], parts[0][1][:0].copy()
     for own, age in parts:
         at = np.searchsorted(merged, own)
         known = np.zeros(len(own), bool)
@@ -416,28 +416,21 @@ def _spans(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lo[at], hi[np.append(at[1:] - 1, len(hi) - 1)] if len(at) else hi[:0]
 
 
-_FOUND = "block bigint, place bigint, until bigint, anchor bigint, slot int, part int, key bigint, string binary"
+_FOUND = "block bigint, spans binary, anchor bigint, slot int, strings binary, ages binary"
+_KINDS = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
 
 
-def _table(block, place, until, anchor=None, slot=None, part=None, key=None, string=None) -> pa.Table:
-    columns = (block, place, until, anchor, slot, part, key)
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
-    n = len(block)
-    arrays = [pa.nulls(n, t) if c is None else pa.array(c, t) for c, t in zip(columns, kinds)]
-    return pa.table([*arrays, pa.nulls(n, pa.binary()) if string is None else pa.array(string, pa.binary())], [c.split()[0] for c in _FOUND.split(", ")])
+def _table(rows: list[tuple]) -> pa.Table:
+    """Rows of ``_FOUND``: a block's spans, or the sorted strings that a part of an anchor has in one slot, with their ages."""
+    return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(_KINDS)], [c.split()[0] for c in _FOUND.split(", ")])
 
 
-def _united(block: np.ndarray, lo: np.ndarray) -> pa.Table:
+def _united(block: np.ndarray, lo: np.ndarray) -> list[tuple]:
     """The union of [lo, lo + LENGTH) in each block."""
-    by, blocks, starts, ends = np.argsort(block, kind="stable"), [], [], []
+    by = np.argsort(block, kind="stable")
     block, lo = block[by], lo[by]
-    for part in np.split(np.arange(len(by)), np.flatnonzero(np.diff(block)) + 1) if len(by) else []:
-        a, b = _spans(lo[part], lo[part] + LENGTH)
-        blocks.append(np.full(len(a), block[part[0]]))
-        starts.append(a)
-        ends.append(b)
-    flat = lambda x: np.concatenate([np.empty(0, np.int64), *x])
-    return _table(flat(blocks), flat(starts), flat(ends))
+    cuts = np.flatnonzero(np.diff(block)) + 1
+    return [(int(block[p[0]]), np.column_stack(_spans(lo[p], lo[p] + LENGTH)).tobytes(), None, None, None, None) for p in np.split(np.arange(len(by)), cuts) if len(p)]
 
 
 def _compare(data: pa.Table) -> pa.Table:
@@ -470,25 +463,24 @@ def _compare(data: pa.Table) -> pa.Table:
             of.append(block[own[region[later]]])
             if cut and len(first):
                 where = (place - pos[own][region])[first].tolist()
-                strings = [hashlib.blake2b(regions[r][o : o + LENGTH], digest_size=16).digest() for r, o in zip(region[first].tolist(), where)]
-                n, one = len(strings), own[0]
-                slot = np.frombuffer(b"".join(s[:4] for s in strings), ">u4").astype(np.int64) * int(parts[one]) >> 32
-                src = own[region[first]]
-                sent.append(_table(block[src], place[first], place[first] + LENGTH, np.full(n, h[one]), slot.astype(np.int32), np.full(n, part[one]), key[src], strings))
+                strings = np.array([hashlib.blake2b(regions[r][o : o + LENGTH], digest_size=16).digest() for r, o in zip(region[first].tolist(), where)], "V16")
+                src, one = own[region[first]], own[0]
+                ages = np.column_stack((key[src], block[src], place[first])).astype(np.int64)
+                slot = strings.view(">u4")[::4].astype(np.int64) * int(parts[one]) >> 32
+                in_order = np.argsort(strings.astype("S16"), kind="stable")
+                in_order = in_order[np.argsort(slot[in_order], kind="stable")]
+                for p in np.split(in_order, np.flatnonzero(np.diff(slot[in_order])) + 1):
+                    sent.append((None, None, int(h[one]), int(slot[p[0]]), strings[p].tobytes(), ages[p].tobytes()))
         i = j
     flat = lambda x: np.concatenate([np.empty(0, np.int64), *x])
-    return pa.concat_tables([_united(flat(of), flat(lo)), *sent])
+    return _table(_united(flat(of), flat(lo)) + sent)
 
 
 def _merge_slot(data: pa.Table) -> pa.Table:
     """The repeats among the distinct strings that the parts of one anchor have in one slot."""
-    part, key, block, place = (data[c].to_numpy() for c in ("part", "key", "block", "place"))
-    strings = np.array(data["string"].to_pylist(), "S16")
-    order = np.lexsort((strings, part))
-    pieces = np.split(order, np.flatnonzero(np.diff(part[order])) + 1)
-    later = merge([(strings[p], np.column_stack((key[p], block[p], place[p]))) for p in pieces])
-    gone = np.concatenate([p[x] for p, x in zip(pieces, later)])
-    return _united(block[gone], place[gone])
+    parts = [(np.frombuffer(x, "S16"), np.frombuffer(y, np.int64).reshape(-1, 3)) for x, y in zip(data["strings"].to_pylist(), data["ages"].to_pylist())]
+    gone = np.concatenate([age[later] for (_, age), later in zip(parts, merge(parts))])
+    return _table(_united(gone[:, 1], gone[:, 2]))
 
 
 def _finish(kind: pa.DataType):
@@ -502,9 +494,10 @@ def _finish(kind: pa.DataType):
                     lo, hi = region_bounds(np.array(ats, np.int64), sizes)
                     np.add.at(gone, lo, 1)
                     np.add.at(gone, hi, -1)
-                if spans:
-                    np.add.at(gone, [x["place"] for x in spans], 1)
-                    np.add.at(gone, [x["until"] for x in spans], -1)
+                for x in spans or ():
+                    pair = np.frombuffer(x, np.int64).reshape(-1, 2)
+                    np.add.at(gone, pair[:, 0], 1)
+                    np.add.at(gone, pair[:, 1], -1)
                 removed = np.cumsum(gone[:-1]) > 0
                 ends = np.cumsum(sizes)
                 for key, a, e in zip(keys, (ends - sizes).tolist(), ends.tolist()):
@@ -550,7 +543,7 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     common.tidy(spark)
     merged = common.materialize(compared.where("anchor IS NOT NULL").groupBy("anchor", "slot").applyInArrow(_merge_slot, _FOUND), "suffix-merged")
     ats = met.where("part < 0").groupBy("block").agg(F.collect_list("at").alias("ats"))
-    spans = compared.where("anchor IS NULL").unionByName(merged).groupBy("block").agg(F.collect_list(F.struct("place", "until")).alias("spans"))
+    spans = compared.where("anchor IS NULL").unionByName(merged).groupBy("block").agg(F.collect_list("spans").alias("spans"))
     full = blocks.join(ats, "block", "left").join(spans, "block", "left").select("keys", "sizes", "data", "ats", "spans")
     return full.mapInArrow(_finish(arrow), f"key {name}, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")
 
