@@ -39,7 +39,7 @@ from . import common
 LENGTH, GRAM = 100, 24
 BLOCK = 2_000_000
 #: Text for one shard of anchors; regions for one shard and for one suffix array; one part of a hot anchor.
-SHARD_TEXT, SHARD_REGIONS, CHUNK, HOT = 8_000_000, 6_000_000, 1_500_000, 1_500_000
+SHARD_TEXT, SHARD_REGIONS, CHUNK, HOT = 8_000_000, 6_000_000, 1_200_000, 1_200_000
 LEAST_SHARDS = 48
 _NULL = -(1 << 63)
 _TABLE = common.mix(np.arange(1, 257, dtype=np.uint64))
@@ -463,11 +463,12 @@ def _compare(data: pa.Table) -> pa.Table:
             of.append(block[own[region[later]]])
             if cut and len(first):
                 where = (place - pos[own][region])[first].tolist()
-                strings = np.array([hashlib.blake2b(regions[r][o : o + LENGTH], digest_size=16).digest() for r, o in zip(region[first].tolist(), where)], "V16")
+                raw = b"".join(hashlib.blake2b(regions[r][o : o + LENGTH], digest_size=16).digest() for r, o in zip(region[first].tolist(), where))
+                strings = np.frombuffer(raw, "S16")
                 src, one = own[region[first]], own[0]
                 ages = np.column_stack((key[src], block[src], place[first])).astype(np.int64)
-                slot = strings.view(">u4")[::4].astype(np.int64) * int(parts[one]) >> 32
-                in_order = np.argsort(strings.astype("S16"), kind="stable")
+                slot = np.frombuffer(raw, ">u4")[::4].astype(np.int64) * int(parts[one]) >> 32
+                in_order = np.argsort(strings, kind="stable")
                 in_order = in_order[np.argsort(slot[in_order], kind="stable")]
                 for p in np.split(in_order, np.flatnonzero(np.diff(slot[in_order])) + 1):
                     sent.append((None, None, int(h[one]), int(slot[p[0]]), strings[p].tobytes(), ages[p].tobytes()))
