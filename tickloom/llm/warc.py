@@ -110,8 +110,8 @@ def write_archive(pages: DataFrame, *, page_id: str = "page_id", url: str = "url
     id_ = lambda c: F.struct(F.col(c).isNull().alias("none"), F.col(c).alias("id"))
     pick = first.select("sha256", id_("first_id").alias("own"))
     # the join has dealt the rows by both keys already, so that the second step moves nothing
-    stored = again.where(large).withColumn("own", id_("page_id"))
-    stored = stored.join(pick, (stored["sha256"] == pick["sha256"]) & stored["own"].eqNullSafe(pick["own"]), "left_semi").dropDuplicates(["sha256", "own"]).select("sha256", "payload")
+    stored = again.where(large).withColumn("own", id_("page_id")).join(pick, ["sha256", "own"], "left_semi")
+    stored = stored.dropDuplicates(["sha256", "own"]).select("sha256", "payload")
     if least > 0:
         stored = stored.unionByName(again.where(~large).dropDuplicates(["sha256"]).select("sha256", "payload"))
     payloads = common.materialize(stored, "warc-payloads")
