@@ -467,7 +467,7 @@ def test_newest_version_wins_and_ties_are_settled(spark):
 
 
 def test_scratch_needs_a_shared_folder(spark, monkeypatch):
-    assert scratch.scratch_dir(spark).startswith("file:///tmp/")
+    assert scratch.scratch_dir(spark) == (spark.conf.get("spark.checkpoint.dir", None) or scratch.LOCAL).rstrip("/")
 
     class Cluster:
         conf = type("C", (), {"get": staticmethod(lambda k, d=None: None)})
