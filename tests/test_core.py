@@ -482,7 +482,7 @@ def test_scratch_needs_a_shared_folder(spark, monkeypatch):
         spark.read.parquet(t.scratch_path).count()
 
 
-@pytest.mark.parametrize("job", ["arima", "detectors"])
+@pytest.mark.parametrize("job", ["arima", "detectors", "scorer"])
 def test_keyed_state_on_a_default_session(spark, tmp_path, job):
     key, cfg = "spark.sql.streaming.stateStore.providerClass", jobs.Config(available_now=True, parallelism=2)
     before = spark.conf.get(key)
