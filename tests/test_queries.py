@@ -1,3 +1,5 @@
+import conftest
+import duckdb
 import pytest
 from conftest import same
 
@@ -9,3 +11,18 @@ SQL = catalogue.oracle_sql()
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_agrees_with_sql(spark, oracle, name):
     same(spark, oracle, catalogue.queries()[name], SQL[name])
+
+
+def _events(path, sql):
+    """A connection whose ``events`` are those of ``sql`` over the smallest table, which the queries find in ``path``."""
+    c = duckdb.connect()
+    c.execute(f"COPY (SELECT {sql} FROM '{conftest.SF}/events.parquet', range(6) r(k) ORDER BY k, event_id) TO '{path}/events.parquet'")
+    c.execute(f"CREATE VIEW events AS SELECT * FROM '{path}/events.parquet'")
+    return c
+
+
+def test_detectors_where_ids_do_not_follow_time(spark, tmp_path, monkeypatch):
+    c = _events(tmp_path, "event_id + 1000 * k AS event_id, ts, user_id + 15 * k AS user_id, event_type, value, props")
+    assert c.sql(SQL["s_detectors"]).limit(1).fetchall()
+    monkeypatch.setattr(conftest, "SF", str(tmp_path))
+    same(spark, c, catalogue.queries()["s_detectors"], SQL["s_detectors"])
