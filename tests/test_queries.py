@@ -1,9 +1,12 @@
 import conftest
 import duckdb
+import numpy as np
 import pytest
 from conftest import same
+from pyspark.sql import functions as F
 
-from tickloom.plans import catalogue
+from tickloom.operators import bars, features
+from tickloom.plans import catalogue, common
 
 SQL = catalogue.oracle_sql()
 
@@ -26,3 +29,12 @@ def test_detectors_where_ids_do_not_follow_time(spark, tmp_path, monkeypatch):
     assert c.sql(SQL["s_detectors"]).limit(1).fetchall()
     monkeypatch.setattr(conftest, "SF", str(tmp_path))
     same(spark, c, catalogue.queries()["s_detectors"], SQL["s_detectors"])
+
+
+@pytest.mark.parametrize("ts, props", [("ts + k * INTERVAL 31 DAY", "props"), ("ts + k * INTERVAL 4 HOUR", "CASE WHEN epoch(ts)::BIGINT // 3600 % 29 > 0 THEN props END")], ids=["months", "no volume"])
+def test_scorer_has_the_features_of_the_batch(spark, tmp_path, ts, props):
+    _events(tmp_path, f"event_id + 1000 * k AS event_id, {ts} AS ts, user_id, event_type, value, {props} AS props")
+    want = features.scorable(bars.tumbling(common.ticks(spark, str(tmp_path)), "1h")).select("ticker", F.col("window_start").cast("string"), *features.FEATURES)
+    got = catalogue.queries()["s_scorer"](spark, str(tmp_path)).select("ticker", F.col("window_start").cast("string"), F.from_json("features", ", ".join(f"{f} double" for f in features.FEATURES)).alias("f"))
+    got, want = sorted(map(tuple, got.select("ticker", "window_start", "f.*").collect())), sorted(map(tuple, want.collect()))
+    assert [r[:2] for r in got] == [r[:2] for r in want] != [] and np.allclose([r[2:] for r in got], [r[2:] for r in want])

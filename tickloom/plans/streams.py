@@ -104,7 +104,7 @@ def detectors(spark, d):
 def scorer(spark, d):
     """Hourly bars as they become final, scored by a forest that was trained on all of them."""
     model = iforest.train(features.build(B.tumbling(ticks(spark, d), "1h")))
-    path, b = _run(spark, d, B.tumbling(ticks(spark, d), "1h"), "scorer", F.floor(F.dayofmonth("window_start") / 11))
+    path, b = _run(spark, d, B.tumbling(ticks(spark, d), "1h"), "scorer", in_time(spark, d, "window_start"))
     jobs.score_job(b, model, path, DRAIN).awaitTermination()
     return no_zone(spark.read.parquet(f"{path}/anomalies_ml").drop("_ingested_at", "batch"))
 
